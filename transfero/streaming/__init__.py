@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The migrated system has no streams, watermarks, windows over event time or late-data rules; every job
+is a full batch reload. Nothing here is needed to reproduce it, so nothing is built.
+"""

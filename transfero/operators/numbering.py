@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,9 +35,17 @@ def _as_order(cols: Sequence[Column | str]) -> list[Column]:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the session's checkpoint folder and cut its lineage."""
+    """Materialise ``df`` in the session's checkpoint folder and cut its lineage.
+
+    The rows are persisted first so the checkpoint writes them from the cache instead of computing
+    the plan a second time; the cache is released once the files are written.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
 
 
 def global_number(df: DataFrame, order: Sequence[Column | str], out: str,

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..context import DEFAULT_CONTEXT, MigrationContext
 from ..sources.catalog import Legacy
-from . import master
+from . import assets, master
 
-_MODULES = [master]
+_MODULES = [master, assets]
 
 JOBS: dict[str, Callable[[Legacy, MigrationContext], DataFrame]] = {}
 ORACLE: dict[str, str] = {}

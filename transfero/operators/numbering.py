@@ -34,16 +34,22 @@ def _as_order(cols: Sequence[Column | str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in cols]
 
 
-def pin(df: DataFrame) -> DataFrame:
+def pin(df: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
     """Materialise ``df`` in the session's checkpoint folder and cut its lineage.
 
-    The rows are persisted first so the checkpoint writes them from the cache instead of computing
-    the plan a second time; the cache is released once the files are written.
+    With ``order``, the rows are range-partitioned and sorted on it first. The input is cached
+    before that, so the plan above runs once: the range sampling, the shuffle and the checkpoint
+    write all read the cache, which is released once the files are written.
     """
     ensure_checkpoint_dir(df.sparkSession)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return cached.checkpoint(eager=True)
+        if order:
+            cached.count()
+            ranged = cached.repartitionByRange(*order).sortWithinPartitions(*order)
+        else:
+            ranged = cached
+        return ranged.checkpoint(eager=True)
     finally:
         cached.unpersist()
 
@@ -57,7 +63,7 @@ def global_number(df: DataFrame, order: Sequence[Column | str], out: str,
     ``max`` taken from an existing table and joined in as a one-row frame).
     """
     order_cols = _as_order(order)
-    ranged = pin(df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols))
+    ranged = pin(df, order_cols)
     mid = F.monotonically_increasing_id()
     tagged = (ranged.withColumn("_gn_mid", mid)
               .withColumn("_gn_part", F.shiftright(F.col("_gn_mid"), _LOCAL_BITS))
@@ -79,11 +85,11 @@ def group_number(df: DataFrame, group: Sequence[str], order: Sequence[Column | s
     """Counter restarting at 1 (+ ``start``) in each group, in ``order`` (total within the group)."""
     tmp = "_grp_global"
     numbered = global_number(df, [*_as_order(group), *_as_order(order)], tmp)
-    firsts = numbered.groupBy(*group).agg(F.min(tmp).alias("_grp_first"))
+    keys = [f"_grp_k{i}" for i in range(len(group))]
+    firsts = numbered.groupBy(*group).agg(F.min(tmp).alias("_grp_first")) \
+        .select(*[F.col(g).alias(k) for g, k in zip(group, keys)], "_grp_first")
     start_col = start if isinstance(start, Column) else F.lit(start)
-    joined = numbered.join(firsts, [numbered[g].eqNullSafe(firsts[g]) for g in group])
-    for g in group:
-        joined = joined.drop(firsts[g])
+    joined = numbered.join(firsts, [numbered[g].eqNullSafe(firsts[k]) for g, k in zip(group, keys)]).drop(*keys)
     return (joined.withColumn(out, (F.col(tmp) - F.col("_grp_first") + 1 + start_col).cast("long"))
             .drop(tmp, "_grp_first"))
 
@@ -114,9 +120,11 @@ def control_break(df: DataFrame, key: Sequence[str], order: Sequence[Column | st
     ``order``. Returns the rows with ``header_id`` and ``item_no`` added.
     """
     headers = df.select(*key).distinct()
-    headers = global_number(headers, header_order or list(key), header_id, start)
+    hk = [f"_cb_k{i}" for i in range(len(key))]
+    headers = global_number(headers, header_order or list(key), header_id, start) \
+        .select(*[F.col(k).alias(h) for k, h in zip(key, hk)], header_id)
     items = group_number(df, key, order, item_no)
-    return items.join(headers, [items[k].eqNullSafe(headers[k]) for k in key]).drop(*[headers[k] for k in key])
+    return items.join(headers, [items[k].eqNullSafe(headers[h]) for k, h in zip(key, hk)]).drop(*hk)
 
 
 def hierarchical_code(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],

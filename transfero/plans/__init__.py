@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..context import DEFAULT_CONTEXT, MigrationContext
 from ..sources.catalog import Legacy
-from . import assets, master
+from . import assets, master, suppliers, warehouse
 
-_MODULES = [master, assets]
+_MODULES = [master, suppliers, warehouse, assets]
 
 JOBS: dict[str, Callable[[Legacy, MigrationContext], DataFrame]] = {}
 ORACLE: dict[str, str] = {}

@@ -7,6 +7,7 @@ as one plan, so filters and column pruning reach the parquet scan.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 
 from .adapters import ADAPTERS
 
+_BASE_CACHE: dict[tuple[str, str], DataFrame] = {}
+_REGISTERED: dict[tuple[int, str], str] = {}
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -26,13 +30,18 @@ class Legacy:
         self._cache: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        key = (self.sf_dir, name)
+        if key not in _BASE_CACHE:
+            _BASE_CACHE[key] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return _BASE_CACHE[key]
 
-    def _register_base(self) -> None:
+    def _register_base(self, sql: str) -> None:
         # Views are resolved when spark.sql analyses the text, so each DataFrame keeps the folder it
         # was built from even if another folder is registered later in the same session.
         for name in BASE_TABLES:
-            self.base(name).createOrReplaceTempView(name)
+            if re.search(rf"\b{name}\b", sql) and _REGISTERED.get((id(self.spark), name)) != self.sf_dir:
+                self.base(name).createOrReplaceTempView(name)
+                _REGISTERED[(id(self.spark), name)] = self.sf_dir
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
@@ -40,7 +49,7 @@ class Legacy:
             if builder is not None:
                 df = builder(self)
             else:
-                self._register_base()
+                self._register_base(ADAPTERS[name])
                 df = self.spark.sql(ADAPTERS[name])
             self._cache[name] = df
         return self._cache[name]

@@ -94,3 +94,14 @@ def test_quality_split_is_total(spark):
     ok, bad = quality_split(df, {"null value": F.col("v").isNull(), "big": F.col("v") > 90})
     assert ok.count() + bad.count() == 100
     assert {r["reason"] for r in bad.collect()} == {"null value", "big"}
+
+
+def test_migrate_writes_outputs(spark, tmp_path):
+    from transfero.plans import run
+    from transfero.plans.runner import LOAD_ORDER, migrate
+    from __spark_entry__ import queries
+    assert set(LOAD_ORDER) <= set(queries())
+    names = ["product_codes", "supplier_master", "stock_opening_balance"]
+    out = migrate(spark, "/root/testdata/sf0.001", str(tmp_path), names=names)
+    for n in names:
+        assert spark.read.parquet(out[n]).count() == run(n, spark, "/root/testdata/sf0.001").count()

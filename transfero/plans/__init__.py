@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..context import DEFAULT_CONTEXT, MigrationContext
 from ..sources.catalog import Legacy
-from . import assets, fleet, master, quotation, suppliers, tender, warehouse
+from . import assets, fleet, master, orders, quotation, suppliers, tender, warehouse
 
-_MODULES = [master, suppliers, quotation, tender, warehouse, fleet, assets]
+_MODULES = [master, suppliers, quotation, tender, orders, warehouse, fleet, assets]
 
 JOBS: dict[str, Callable[[Legacy, MigrationContext], DataFrame]] = {}
 ORACLE: dict[str, str] = {}

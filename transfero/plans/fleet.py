@@ -12,7 +12,7 @@ from ..operators.joins import containment_join
 from ..operators.merge import merge_update
 from ..operators.numbering import control_break, first_per_key, global_number
 from ..operators.quality import quality_split
-from ..sources.catalog import Legacy, oracle
+from ..sources.catalog import Legacy, derived, oracle
 from . import suppliers, warehouse
 
 # Fixed values of the target system.
@@ -37,6 +37,7 @@ def _plate(col: str) -> F.Column:
     return F.replace(F.replace(F.col(col), F.lit("-"), F.lit("")), F.lit(" "), F.lit(""))
 
 
+@derived
 def _vehicles(src: Legacy) -> DataFrame:
     v = src["frotas_veiculo"].filter(F.col("nrplacaveiculo") != "")
     p = src["produto"].select(F.col("cdmaterial").alias("cdcombustivel"), "descricao_unica")
@@ -51,6 +52,7 @@ def vehicles(src: Legacy, ctx: MigrationContext) -> DataFrame:
         F.lit(AVERAGE_UNIT).alias("tipo_media"), F.lit(DISTANCE_TCE).alias("deslocamento_tce"))
 
 
+@derived
 def _centres_before(src: Legacy, ctx: MigrationContext) -> DataFrame:
     """Cost centres present before the vehicle load: the migrated ones and the plate centres."""
     cc = suppliers.cost_centers(src, ctx).select("codccusto", "descr", "destino", "ccusto", "empresa", "ocultar")
@@ -58,6 +60,7 @@ def _centres_before(src: Legacy, ctx: MigrationContext) -> DataFrame:
     return cc.unionByName(plates, allowMissingColumns=True).withColumn("placa", F.lit(None).cast("string"))
 
 
+@derived
 def vehicle_cost_centers(src: Legacy, ctx: MigrationContext) -> DataFrame:
     """Each vehicle is matched to the first cost centre (lowest id) whose description, upper-cased and
     without blanks, contains its plate; the centre gets the plate (the last vehicle in load order,
@@ -84,6 +87,7 @@ def vehicle_cost_centers(src: Legacy, ctx: MigrationContext) -> DataFrame:
     return updated.unionByName(new, allowMissingColumns=True)
 
 
+@derived
 def _fuel(src: Legacy, ctx: MigrationContext) -> tuple[DataFrame, DataFrame]:
     y = ctx.fleet_year
     m = src["movtoveiculo"].filter((F.col("dtmovimento") >= F.lit(f"{y}-01-01").cast("date"))
@@ -99,6 +103,7 @@ def _fuel(src: Legacy, ctx: MigrationContext) -> tuple[DataFrame, DataFrame]:
     return ok, bad
 
 
+@derived
 def _high_water(src: Legacy, ctx: MigrationContext) -> DataFrame:
     """Largest requisition id and number already in the target (warehouse loads)."""
     req = warehouse.stock_requisitions(src, ctx).select("id_requi", F.col("num").cast("long").alias("num"))
@@ -107,6 +112,7 @@ def _high_water(src: Legacy, ctx: MigrationContext) -> DataFrame:
     return both.agg(F.coalesce(F.max("id_requi"), F.lit(0)).alias("_id0"), F.coalesce(F.max("num"), F.lit(0)).alias("_num0"))
 
 
+@derived
 def _fuel_numbered(src: Legacy, ctx: MigrationContext) -> DataFrame:
     ok, _ = _fuel(src, ctx)
     rows = ok.crossJoin(F.broadcast(_high_water(src, ctx)))

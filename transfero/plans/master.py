@@ -10,7 +10,7 @@ from ..functions import sqltext as Q
 from ..functions.text import cut, title_case, zfill
 from ..operators.numbering import global_number, hierarchical_code
 from ..operators.quality import quality_split
-from ..sources.catalog import Legacy, oracle
+from ..sources.catalog import Legacy, derived, oracle
 
 
 # --- P1 units of measure -------------------------------------------------------------------------
@@ -49,6 +49,7 @@ def _group_sources(src: Legacy, classes: str = "classificacao", goods: str | Non
     return rows.distinct()
 
 
+@derived
 def _groups(src: Legacy, **kw) -> DataFrame:
     rows = _group_sources(src, **kw)
     numbered = global_number(rows, ["tipo", "cdclassereduzido", "dsclassificacao"], "_n")
@@ -100,6 +101,7 @@ ORACLE_SUBGROUPS = oracle("select grupo, '000' subgrupo, nome, ocultar from grup
 
 # --- P3 product codes ----------------------------------------------------------------------------
 
+@derived
 def _product_codes(src: Legacy, products: str = "produto", **group_kw):
     """Returns (codes, overflow_subgroups, rejected)."""
     groups = _groups(src, products=products, **group_kw)

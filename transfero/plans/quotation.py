@@ -13,7 +13,7 @@ from ..operators.merge import merge_update
 from ..operators.numbering import first_per_key, group_number
 from ..operators.quality import quality_split
 from ..operators.resolve import resolve_supplier
-from ..sources.catalog import Legacy, oracle
+from ..sources.catalog import Legacy, derived, oracle
 from . import master, suppliers, warehouse
 
 # Fixed values of the target system.
@@ -84,6 +84,7 @@ def _item_rows(src: Legacy) -> DataFrame:
                            _txt("cdorgaoreduzido")))
 
 
+@derived
 def _items(src: Legacy) -> tuple[DataFrame, DataFrame]:
     rows = group_number(_item_rows(src), ["id_cadorc"], ["nritem", "lote", "cdmaterial", "cdorgaoreduzido"], "rn")
     rows = rows.join(warehouse._products(src), "cdmaterial", "left")
@@ -106,6 +107,7 @@ def _supplier_master(src: Legacy, ctx: MigrationContext) -> DataFrame:
     return suppliers.supplier_master(src, ctx)
 
 
+@derived
 def quotation_bidders(src: Legacy, ctx: MigrationContext) -> DataFrame:
     p = src["propostapesquisa"].filter(F.col("nrpesquisa") > 0)
     f = src["fornecedor"].select("cdfornecedor", "nmfornecedor", "nrcgccpf")
@@ -120,6 +122,7 @@ def quotation_bidders(src: Legacy, ctx: MigrationContext) -> DataFrame:
 
 # --- P9 bids, totals, item prices ----------------------------------------------------------------
 
+@derived
 def quotation_bids(src: Legacy, ctx: MigrationContext) -> DataFrame:
     p = src["propostapesquisa"].filter(F.col("nrpesquisa") > 0)
     key = ["nrpesquisa", "dtanopesquisa", "lote", "nritemproposta"]

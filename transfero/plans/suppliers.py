@@ -15,7 +15,7 @@ from ..functions import sqltext as Q
 from ..functions.text import cut, decimal14_text, doc_mask, doc_pad_a, doc_type, title_case, zfill
 from ..operators.merge import merge_update
 from ..operators.numbering import first_per_key, global_number
-from ..sources.catalog import Legacy, oracle
+from ..sources.catalog import Legacy, derived, oracle
 
 # Fixed values of the target system.
 CONVERSION_NAME = "Conversão"      # default cost centre / warehouse added by the migration
@@ -26,6 +26,7 @@ MODULE = "COMPRAS"
 
 # --- P4 cost centres ---------------------------------------------------------------------------
 
+@derived
 def cost_centers(src: Legacy, ctx: MigrationContext) -> DataFrame:
     org = src["orgao"]
     first = first_per_key(org.withColumn("nmorgao", F.lit(None).cast("string")), ["cdorgaoreduzido"],
@@ -90,6 +91,7 @@ def _existing(src: Legacy) -> DataFrame:
     return src["desfor_existing"]
 
 
+@derived
 def _resolved(src: Legacy) -> DataFrame:
     """Each supplier row with its padded document and the existing supplier it matches (if any):
     first by document, then by name cut at 50; the first existing supplier (lowest id) wins."""
@@ -104,6 +106,7 @@ def _resolved(src: Legacy) -> DataFrame:
     return rows.withColumn("match", F.coalesce("_by_doc", "_by_name")).drop("_by_doc", "_by_name", "_name50")
 
 
+@derived
 def supplier_inserts(src: Legacy, ctx: MigrationContext) -> DataFrame:
     """One new supplier per unmatched legacy supplier (its first row by address, descending), with
     ids after the current maximum in legacy-id order."""
@@ -124,6 +127,7 @@ def supplier_inserts(src: Legacy, ctx: MigrationContext) -> DataFrame:
         F.lit(MODULE).alias("modulo"))
 
 
+@derived
 def supplier_matches(src: Legacy, ctx: MigrationContext) -> DataFrame:
     """Existing suppliers after the load: codant = legacy id of the last supplier matched to them."""
     ex = _existing(src).withColumn("codant", F.lit(None).cast("string"))
@@ -132,6 +136,7 @@ def supplier_matches(src: Legacy, ctx: MigrationContext) -> DataFrame:
     return merge_update(ex, hits, {"codif": "match"}, {"codant": "_codant"}, pick=["cdfornecedor"])
 
 
+@derived
 def supplier_master(src: Legacy, ctx: MigrationContext) -> DataFrame:
     """Target supplier table: existing suppliers (with codant) and the inserted ones."""
     existing = supplier_matches(src, ctx).select("codif", "nome", "codant", F.col("audesp_numero").alias("documento"))
@@ -139,6 +144,7 @@ def supplier_master(src: Legacy, ctx: MigrationContext) -> DataFrame:
     return existing.unionByName(new)
 
 
+@derived
 def supplier_lookup(src: Legacy, ctx: MigrationContext) -> DataFrame:
     """One row per legacy id for the lookups of later jobs: the supplier with the lowest id."""
     m = supplier_master(src, ctx).filter(F.col("codant").isNotNull())

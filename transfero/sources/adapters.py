@@ -75,77 +75,79 @@ ADAPTERS: dict[str, str] = {
         "concat(n_name,' B'), 1999 from nation where n_nationkey % 4 = 0"
     ),
     "processopesquisa": (
-        "select o_orderkey nrpesquisa, year(o_orderdate) dtanopesquisa, case when o_orderkey % 6 = 0 then null else "
-        "o_orderkey % 5000 end nrprocesso, case when o_orderkey % 6 = 0 then null else year(o_orderdate) end "
-        "dtanoprocesso, lower(o_orderpriority) dspesquisa, o_orderdate dtexpedicao, case when o_orderkey % 4 = 0 then "
-        "null else upper(o_orderpriority) end justificativa_contratacao, cast(substring(o_orderpriority,1,1) as int) "
-        "cdcondicaopagamento from orders"
+        "select o_orderkey nrpesquisa, cast(year(o_orderdate) as int) dtanopesquisa, case when o_orderkey % 6 = 0 then "
+        "null else o_orderkey % 5000 end nrprocesso, case when o_orderkey % 6 = 0 then null else cast(year(o_orderdate) "
+        "as int) end dtanoprocesso, lower(o_orderpriority) dspesquisa, o_orderdate dtexpedicao, case when o_orderkey % "
+        "4 = 0 then null else upper(o_orderpriority) end justificativa_contratacao, cast(substring(o_orderpriority,1,1) "
+        "as int) cdcondicaopagamento from orders"
     ),
     "itempesquisa": (
-        "select l_orderkey nrpesquisa, year(o_orderdate) dtanopesquisa, l_linenumber % 2 + 1 lote, l_linenumber nritem, "
-        "min(l_partkey) cdmaterial, cast(sum(l_quantity) as decimal(18,5)) qtitempesquisa from lineitem join orders on "
-        "o_orderkey = l_orderkey group by l_orderkey, year(o_orderdate), l_linenumber"
+        "select l_orderkey nrpesquisa, cast(year(o_orderdate) as int) dtanopesquisa, l_linenumber % 2 + 1 lote, "
+        "l_linenumber nritem, min(l_partkey) cdmaterial, cast(sum(l_quantity) as decimal(18,5)) qtitempesquisa from "
+        "lineitem join orders on o_orderkey = l_orderkey group by l_orderkey, cast(year(o_orderdate) as int), "
+        "l_linenumber"
     ),
     "orgaopesquisa": (
-        "select o_orderkey nrpesquisa, year(o_orderdate) dtanopesquisa, c_nationkey cdorgaoreduzido from orders join "
-        "customer on c_custkey = o_custkey"
+        "select o_orderkey nrpesquisa, cast(year(o_orderdate) as int) dtanopesquisa, c_nationkey cdorgaoreduzido from "
+        "orders join customer on c_custkey = o_custkey"
     ),
     "propostapesquisa": (
-        "select l_orderkey nrpesquisa, year(o_orderdate) dtanopesquisa, l_linenumber % 2 + 1 lote, l_linenumber "
-        "nritemproposta, l_suppkey + 1 cdfornecedor, min(case when l_discount = 0 then cast(0 as decimal(18,5)) else "
-        "cast(floor(l_extendedprice / l_quantity * 100) / 100 as decimal(18,5)) end) vlcotacaoproposta, "
-        "cast(sum(l_quantity) as decimal(18,5)) qtitemproposta from lineitem join orders on o_orderkey = l_orderkey "
-        "group by l_orderkey, year(o_orderdate), l_linenumber, l_suppkey"
+        "select l_orderkey nrpesquisa, cast(year(o_orderdate) as int) dtanopesquisa, l_linenumber % 2 + 1 lote, "
+        "l_linenumber nritemproposta, l_suppkey + 1 cdfornecedor, min(case when l_discount = 0 then cast(0 as "
+        "decimal(18,5)) else cast(floor(l_extendedprice / l_quantity * 100) / 100 as decimal(18,5)) end) "
+        "vlcotacaoproposta, cast(sum(l_quantity) as decimal(18,5)) qtitemproposta from lineitem join orders on "
+        "o_orderkey = l_orderkey group by l_orderkey, cast(year(o_orderdate) as int), l_linenumber, l_suppkey"
     ),
     "processolicitatorio": (
-        "select o_orderkey pkid, o_orderkey nrprocesso, year(o_orderdate) dtanoprocesso, 4 cdtipoprocesso, case "
-        "cast(substring(o_orderpriority,1,1) as int) when 1 then 1 when 2 then 2 when 3 then 5 when 4 then 8 else case "
-        "when o_orderkey % 11 = 0 then 99 else 3 end end cdtipomodalidade, case when o_orderpriority like '4%' and "
+        "select o_orderkey pkid, o_orderkey nrprocesso, cast(year(o_orderdate) as int) dtanoprocesso, 4 cdtipoprocesso, "
+        "case cast(substring(o_orderpriority,1,1) as int) when 1 then 1 when 2 then 2 when 3 then 5 when 4 then 8 else "
+        "case when o_orderkey % 11 = 0 then 99 else 3 end end cdtipomodalidade, case when o_orderpriority like '4%' and "
         "o_orderstatus = 'F' then -1 else 0 end inpregaoeletronico, case when o_orderstatus = 'O' then -1 else 0 end "
         "inregistropreco, case when o_orderkey % 10 = 0 then 1 else 0 end cdunidadegestora, case when o_orderkey % 3 = "
-        "0 then 'Menor pre\u00e7o - Global' else 'Menor pre\u00e7o - Item' end dscriterio, o_orderdate dtexpedicao, case when "
+        "0 then 'Menor preço - Global' else 'Menor preço - Item' end dscriterio, o_orderdate dtexpedicao, case when "
         "o_orderkey % 8 = 0 then null else o_orderdate end dthomologacao from orders"
     ),
     "itemobjeto": (
-        "select l_orderkey id_processolicitatorio, l_orderkey nrprocesso, year(o_orderdate) dtanoprocesso, 4 "
-        "cdtipoprocesso, l_linenumber % 3 lote, l_linenumber nritem, min(l_partkey) cdmaterial, concat('LOTE ', "
+        "select l_orderkey id_processolicitatorio, l_orderkey nrprocesso, cast(year(o_orderdate) as int) dtanoprocesso, "
+        "4 cdtipoprocesso, l_linenumber % 3 lote, l_linenumber nritem, min(l_partkey) cdmaterial, concat('LOTE ', "
         "cast(l_linenumber % 3 as string)) nmlote, cast(sum(l_quantity) as decimal(18,5)) qtitemobjeto from lineitem "
-        "join orders on o_orderkey = l_orderkey where l_linenumber < 7 group by l_orderkey, year(o_orderdate), "
-        "l_linenumber"
+        "join orders on o_orderkey = l_orderkey where l_linenumber < 7 group by l_orderkey, cast(year(o_orderdate) as "
+        "int), l_linenumber"
     ),
     "classificacaoproposta": (
         "select fk_processo_licitatorio, nrprocesso, dtanoprocesso, cdtipoprocesso, lote, nritem, cdmaterial, "
         "cdfornecedor, vlcotacaoproposta, cast(row_number() over (partition by nrprocesso, nritem order by "
         "vlcotacaoproposta, cdfornecedor) as int) nrclassificacao, tpregistro, ordem, case when cdmaterial % 50 = 0 "
         "then cdmaterial else null end fk_tabela_preco_processo from (select l_orderkey fk_processo_licitatorio, "
-        "l_orderkey nrprocesso, year(o_orderdate) dtanoprocesso, 4 cdtipoprocesso, l_linenumber % 3 lote, l_linenumber "
-        "nritem, min(l_partkey) over (partition by l_orderkey, l_linenumber) cdmaterial, l_suppkey + 1 cdfornecedor, "
-        "cast(floor(l_extendedprice / l_quantity * 100) / 100 as decimal(18,5)) vlcotacaoproposta, case when "
-        "l_returnflag = 'R' then 'R' else 'C' end tpregistro, cast(l_partkey as int) ordem from lineitem join orders on "
-        "o_orderkey = l_orderkey) q"
+        "l_orderkey nrprocesso, cast(year(o_orderdate) as int) dtanoprocesso, 4 cdtipoprocesso, l_linenumber % 3 lote, "
+        "l_linenumber nritem, min(l_partkey) over (partition by l_orderkey, l_linenumber) cdmaterial, l_suppkey + 1 "
+        "cdfornecedor, cast(floor(l_extendedprice / l_quantity * 100) / 100 as decimal(18,5)) vlcotacaoproposta, case "
+        "when l_returnflag = 'R' then 'R' else 'C' end tpregistro, cast(l_partkey as int) ordem from lineitem join "
+        "orders on o_orderkey = l_orderkey) q"
     ),
     "tabela_preco_item": (
         "select p_partkey pkid, p_partkey % 100 cd_produto from part where p_partkey % 50 = 0"
     ),
     "dataview_pedidoempenho": (
-        "select o_orderkey nrempenho, year(o_orderdate) dtanoempenho, o_orderkey nrprocesso, year(o_orderdate) "
-        "dtanoprocesso, 4 cdtipoprocesso, l_suppkey + 1 cdfornecedor, l_linenumber % 3 lote, l_linenumber nritem, case "
-        "when o_orderstatus = 'O' then '1' else '0' end ehregistropreco, cast(l_quantity as decimal(18,5)) qtdeitem, "
-        "cast(floor(l_extendedprice / l_quantity * 100) / 100 as decimal(18,5)) vlcotacaoproposta, cast(l_extendedprice "
-        "as decimal(18,5)) vltotalitem, c_nationkey cdorgaoreduzido, o_orderdate dtempenho, o_orderkey + 7 nrempenhocp, "
-        "year(o_orderdate) dtanoempenhocp, case when o_orderkey % 4 = 0 then o_orderkey else null end "
-        "nrinstrumentocontratual, year(o_orderdate) dtanoinstrumentocontratual from lineitem join orders on o_orderkey "
-        "= l_orderkey join customer on c_custkey = o_custkey"
+        "select o_orderkey nrempenho, cast(year(o_orderdate) as int) dtanoempenho, o_orderkey nrprocesso, "
+        "cast(year(o_orderdate) as int) dtanoprocesso, 4 cdtipoprocesso, l_suppkey + 1 cdfornecedor, l_linenumber % 3 "
+        "lote, l_linenumber nritem, case when o_orderstatus = 'O' then '1' else '0' end ehregistropreco, "
+        "cast(l_quantity as decimal(18,5)) qtdeitem, cast(floor(l_extendedprice / l_quantity * 100) / 100 as "
+        "decimal(18,5)) vlcotacaoproposta, cast(l_extendedprice as decimal(18,5)) vltotalitem, c_nationkey "
+        "cdorgaoreduzido, o_orderdate dtempenho, o_orderkey + 7 nrempenhocp, cast(year(o_orderdate) as int) "
+        "dtanoempenhocp, case when o_orderkey % 4 = 0 then o_orderkey else null end nrinstrumentocontratual, "
+        "cast(year(o_orderdate) as int) dtanoinstrumentocontratual from lineitem join orders on o_orderkey = l_orderkey "
+        "join customer on c_custkey = o_custkey"
     ),
     "despes": (
-        "select o_orderkey pkemp, o_orderkey + 7 id_nrempenho, year(o_orderdate) id_dtanoemissao, cast(case when "
-        "o_orderkey % 9 = 0 then 0 else o_totalprice end as decimal(18,5)) vadem from orders"
+        "select o_orderkey pkemp, o_orderkey + 7 id_nrempenho, cast(year(o_orderdate) as int) id_dtanoemissao, "
+        "cast(case when o_orderkey % 9 = 0 then 0 else o_totalprice end as decimal(18,5)) vadem from orders"
     ),
     "instrumentocontratual": (
-        "select o_orderkey nrinstrumentocontratual, year(o_orderdate) dtanoinstrumentocontratual, 1 "
-        "tpinstrumentocontratual, o_orderkey nrprocesso, year(o_orderdate) dtanoprocesso, case when o_orderkey % 16 = 0 "
-        "then o_orderkey + 900000000 else o_orderkey end nr_empenho, year(o_orderdate) dt_ano_empenho, o_orderdate "
-        "dtinstrumentocontratual from orders where o_orderkey % 4 = 0"
+        "select o_orderkey nrinstrumentocontratual, cast(year(o_orderdate) as int) dtanoinstrumentocontratual, 1 "
+        "tpinstrumentocontratual, o_orderkey nrprocesso, cast(year(o_orderdate) as int) dtanoprocesso, case when "
+        "o_orderkey % 16 = 0 then o_orderkey + 900000000 else o_orderkey end nr_empenho, cast(year(o_orderdate) as int) "
+        "dt_ano_empenho, o_orderdate dtinstrumentocontratual from orders where o_orderkey % 4 = 0"
     ),
     "almox_movimento": (
         "select row_number() over (order by l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, "
@@ -203,11 +205,11 @@ ADAPTERS: dict[str, str] = {
         "cast(l_tax * 100 as decimal(18,5)) vlcomplementar, 0 inestorno from lineitem where l_linenumber = 3"
     ),
     "iteminstrumentocontratual": (
-        "select l_orderkey nrinstrumentocontratual, year(o_orderdate) dtanoinstrumentocontratual, 1 "
+        "select l_orderkey nrinstrumentocontratual, cast(year(o_orderdate) as int) dtanoinstrumentocontratual, 1 "
         "tpinstrumentocontratual, l_linenumber % 3 lote, l_linenumber nritem, min(l_partkey) cdmaterial, "
         "cast(sum(l_quantity) as decimal(18,5)) qtitem, cast(floor(min(l_extendedprice / l_quantity) * 100) / 100 as "
         "decimal(18,5)) valor_unitario from lineitem join orders on o_orderkey = l_orderkey where l_orderkey % 4 = 0 "
-        "group by l_orderkey, year(o_orderdate), l_linenumber"
+        "group by l_orderkey, cast(year(o_orderdate) as int), l_linenumber"
     ),
     "condicaopagamento": (
         "select distinct cast(substring(o_orderpriority,1,1) as int) cdcondicaopagamento, concat('PAGAMENTO EM ', "
@@ -237,7 +239,7 @@ ADAPTERS: dict[str, str] = {
         "cast(substring(p_brand,7) as int) % 2 = 0"
     ),
     "tender_proposta": (
-        "select distinct l_orderkey nrprocesso, year(o_orderdate) dtanoprocesso, 4 cdtipoprocesso, l_linenumber % 3 "
-        "lote, l_suppkey + 1 cdfornecedor from lineitem join orders on o_orderkey = l_orderkey"
+        "select distinct l_orderkey nrprocesso, cast(year(o_orderdate) as int) dtanoprocesso, 4 cdtipoprocesso, "
+        "l_linenumber % 3 lote, l_suppkey + 1 cdfornecedor from lineitem join orders on o_orderkey = l_orderkey"
     ),
 }

@@ -28,6 +28,7 @@ class Legacy:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
+        self._memo: dict[tuple, object] = {}
 
     def base(self, name: str) -> DataFrame:
         key = (self.sf_dir, name)
@@ -56,6 +57,24 @@ class Legacy:
 
     __getitem__ = table
 
+    def memo(self, key: tuple, build: Callable[[], object]) -> object:
+        """Build a derived result once per catalog (DataFrames are immutable, so sharing is safe)."""
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]
+
+
+def derived(fn):
+    """Decorator for job steps ``fn(src, *args)``: one build per catalog and arguments, so a step used
+    by several outputs of a job (and the checkpoints it takes) is not repeated."""
+    import functools
+
+    @functools.wraps(fn)
+    def wrapper(src: Legacy, *args, **kw):
+        key = (fn.__module__, fn.__qualname__, args, tuple(sorted(kw.items())))
+        return src.memo(key, lambda: fn(src, *args, **kw))
+    return wrapper
+
 
 def _almox_movimento(src: Legacy) -> DataFrame:
     """Warehouse ledger: the adapter numbers all lineitems with one unpartitioned window, which

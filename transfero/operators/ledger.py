@@ -22,8 +22,7 @@ def chained_fill(df: DataFrame, key: Sequence[str], order: str, value: str, fill
     """
     order_cols = [*[F.col(k).asc_nulls_first() for k in key], F.col(order).asc_nulls_first()]
     base = df.withColumn("_cf_fill", F.coalesce(fillable, F.lit(False)))
-    pinned = pin(base, order_cols)
-    tagged = pinned.withColumn("_cf_part", F.spark_partition_id())
+    tagged = pin(base, order_cols).withColumnRenamed("_pin_part", "_cf_part").drop("_pin_pos")
     anchor = F.when(~F.col("_cf_fill"), F.coalesce(F.col(value), F.lit(0)))
     w_local = (Window.partitionBy("_cf_part", *key).orderBy(F.col(order).asc_nulls_first())
                .rowsBetween(Window.unboundedPreceding, -1))

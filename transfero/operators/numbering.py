@@ -6,10 +6,10 @@ holds a large share of the data. The operators here number rows with range parti
 
 1. ``repartitionByRange`` on the full (total) order, so even a very large group is split over many
    contiguous slices, and ``sortWithinPartitions`` on the same order;
-2. a reliable ``checkpoint`` pins the slices (their rows and row order), so counting and numbering
+2. each slice is written once to the shared checkpoint folder with every row's (slice, position in
+   slice), taken from ``monotonically_increasing_id`` in the writing task, so counting and numbering
    read identical data on every executor and after any retry;
-3. ``monotonically_increasing_id`` gives (slice, position in slice); a running sum over the per-slice
-   counts gives each slice's offset. That table has one row per slice, so its size is bounded by the
+3. a running sum over the per-slice counts gives each slice's offset. That table has one row per slice, so its size is bounded by the
    partition count, never by the data, and it is broadcast.
 
 Group-relative numbers (a counter that restarts per group) are the global number minus the group's
@@ -19,6 +19,7 @@ splits a skewed group in that join).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -35,23 +36,30 @@ def _as_order(cols: Sequence[Column | str]) -> list[Column]:
 
 
 def pin(df: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
-    """Materialise ``df`` in the session's checkpoint folder and cut its lineage.
+    """Write ``df`` as a table in the session's checkpoint folder and read it back (lineage cut).
 
-    With ``order``, the rows are range-partitioned and sorted on it first. The input is cached
-    before that, so the plan above runs once: the range sampling, the shuffle and the checkpoint
-    write all read the cache, which is released once the files are written.
+    With ``order``, rows are range-partitioned and sorted on it, and each row is written with its
+    slice (``_pin_part``) and its position in the slice (``_pin_pos``), both taken in the task that
+    writes the slice. The assignment is therefore frozen in shared storage: later stages and retried
+    tasks read the same numbers. The input is cached first so that range sampling and the write do not
+    run the plan above twice. The table is plain parquet, so readers get column pruning and pushdown.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    folder = ensure_checkpoint_dir(spark)
+    path = f"{folder.rstrip('/')}/pinned-{uuid.uuid4().hex}"
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if order:
-            cached.count()
             ranged = cached.repartitionByRange(*order).sortWithinPartitions(*order)
         else:
             ranged = cached
-        return ranged.checkpoint(eager=True)
+        ranged.withColumn("_pin_mid", F.monotonically_increasing_id()).write.parquet(path)
     finally:
         cached.unpersist()
+    back = spark.read.parquet(path)
+    return (back.withColumn("_pin_part", F.shiftright(F.col("_pin_mid"), _LOCAL_BITS))
+            .withColumn("_pin_pos", F.col("_pin_mid").bitwiseAND((1 << _LOCAL_BITS) - 1))
+            .drop("_pin_mid"))
 
 
 def global_number(df: DataFrame, order: Sequence[Column | str], out: str,
@@ -63,21 +71,17 @@ def global_number(df: DataFrame, order: Sequence[Column | str], out: str,
     ``max`` taken from an existing table and joined in as a one-row frame).
     """
     order_cols = _as_order(order)
-    ranged = pin(df, order_cols)
-    mid = F.monotonically_increasing_id()
-    tagged = (ranged.withColumn("_gn_mid", mid)
-              .withColumn("_gn_part", F.shiftright(F.col("_gn_mid"), _LOCAL_BITS))
-              .withColumn("_gn_pos", F.col("_gn_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)))
-    counts = tagged.groupBy("_gn_part").agg(F.count(F.lit(1)).alias("_gn_n"))
+    tagged = pin(df, order_cols)
+    counts = tagged.groupBy("_pin_part").agg(F.count(F.lit(1)).alias("_gn_n"))
     # One row per slice: the window below is over the slice table, not over the data.
     offsets = counts.select(
-        "_gn_part",
-        F.coalesce(F.sum("_gn_n").over(Window.orderBy("_gn_part").rowsBetween(Window.unboundedPreceding, -1)),
+        "_pin_part",
+        F.coalesce(F.sum("_gn_n").over(Window.orderBy("_pin_part").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_gn_off"))
     start_col = start if isinstance(start, Column) else F.lit(start)
-    numbered = tagged.join(F.broadcast(offsets), "_gn_part")
-    return (numbered.withColumn(out, (F.col("_gn_off") + F.col("_gn_pos") + 1 + start_col).cast("long"))
-            .drop("_gn_mid", "_gn_part", "_gn_pos", "_gn_off"))
+    numbered = tagged.join(F.broadcast(offsets), "_pin_part")
+    return (numbered.withColumn(out, (F.col("_gn_off") + F.col("_pin_pos") + 1 + start_col).cast("long"))
+            .drop("_pin_part", "_pin_pos", "_gn_off"))
 
 
 def group_number(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], out: str,

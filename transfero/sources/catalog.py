@@ -1,7 +1,7 @@
 """Source catalog: (legacy table name) -> DataFrame, plus the shared-SQL oracle builder.
 
-``Legacy(spark, sf_dir)`` registers the test tables of one folder and builds each legacy-shaped
-table from its adapter text on first use. The DataFrames stay lazy: Catalyst sees adapter and job
+``Legacy(spark, sf_dir)`` reads the test tables of one folder and builds each legacy-shaped table
+from its adapter text on first use (table names are bound as DataFrame parameters, no views). The DataFrames stay lazy: Catalyst sees adapter and job
 as one plan, so filters and column pruning reach the parquet scan.
 """
 
@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from .adapters import ADAPTERS
 
-_BASE_CACHE: dict[tuple[str, str], DataFrame] = {}
-_REGISTERED: dict[tuple[int, str], str] = {}
+_BASE_CACHE: dict[tuple, DataFrame] = {}
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -31,27 +30,23 @@ class Legacy:
         self._memo: dict[tuple, object] = {}
 
     def base(self, name: str) -> DataFrame:
-        key = (self.sf_dir, name)
+        key = (self.spark.sparkContext.applicationId, id(self.spark), self.sf_dir, name)
         if key not in _BASE_CACHE:
             _BASE_CACHE[key] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return _BASE_CACHE[key]
 
-    def _register_base(self, sql: str) -> None:
-        # Views are resolved when spark.sql analyses the text, so each DataFrame keeps the folder it
-        # was built from even if another folder is registered later in the same session.
-        for name in BASE_TABLES:
-            if re.search(rf"\b{name}\b", sql) and _REGISTERED.get((id(self.spark), name)) != self.sf_dir:
-                self.base(name).createOrReplaceTempView(name)
-                _REGISTERED[(id(self.spark), name)] = self.sf_dir
-
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
             builder = _SPARK_BUILDERS.get(name)
             if builder is not None:
                 df = builder(self)
             else:
-                self._register_base(ADAPTERS[name])
-                df = self.spark.sql(ADAPTERS[name])
+                # The adapter's table names become DataFrame parameters of spark.sql, so no temporary
+                # view is registered in the caller's session.
+                text = ADAPTERS[name]
+                used = [b for b in BASE_TABLES if re.search(rf"\b{b}\b", text)]
+                template = re.sub(rf"\b({'|'.join(used)})\b", r"{\1}", text) if used else text
+                df = self.spark.sql(template, **{b: self.base(b) for b in used})
             self._cache[name] = df
         return self._cache[name]
 

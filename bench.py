@@ -19,6 +19,8 @@ HEADLINE = [
     "supplier_master",
     "quotation_bids",
     "quotation_item_prices",
+    "tender_bids",
+    "purchase_order_lines",
     "stock_opening_balance",
     "stock_movements",
     "vehicle_cost_centers",

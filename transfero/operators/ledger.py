@@ -1,4 +1,4 @@
-"""Ordered per-key operators: chained fill and signed balances."""
+"""Ordered per-key operator: chained fill over range slices."""
 
 from __future__ import annotations
 
@@ -46,7 +46,3 @@ def chained_fill(df: DataFrame, key: Sequence[str], order: str, value: str, fill
     out = joined.withColumn(value, F.when(F.col("_cf_fill"), filled).otherwise(F.col(value)).cast(df.schema[value].dataType))
     return out.select(*df.columns)
 
-
-def signed_balance(df: DataFrame, key: Sequence[str], plus: Column, minus: Column, keep: Column) -> DataFrame:
-    """``SUM(plus - minus)`` per key over the rows where ``keep`` holds (partial aggregation)."""
-    return df.groupBy(*key).agg(F.sum(F.when(keep, plus - minus)).alias("saldo"))

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from ..context import MigrationContext
 from ..functions import sqltext as Q
 from ..functions.text import (capitalize, cut, decimal14_text, doc_pad_b, keep_right, lot_item_number, title_case,
-                              year_chars_3_4)
-from ..operators.merge import merge_update
+                              year_chars_3_4, year_mod_2000)
 from ..operators.numbering import first_per_key, group_number
 from ..operators.quality import quality_split
 from ..operators.resolve import resolve_supplier
@@ -32,7 +31,7 @@ def _id_text(nr: str = "nrpesquisa", year: str = "dtanopesquisa") -> Column:
 
 
 def _numorc(nr: str = "nrpesquisa", year: str = "dtanopesquisa") -> Column:
-    return F.concat(keep_right(nr, 5), F.lit("/"), (F.col(year) % 2000).cast("string"))
+    return F.concat(keep_right(nr, 5), F.lit("/"), year_mod_2000(year))
 
 
 def _money(c: Column) -> Column:

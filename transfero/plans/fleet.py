@@ -103,19 +103,10 @@ def _fuel(src: Legacy, ctx: MigrationContext) -> tuple[DataFrame, DataFrame]:
     return ok, bad
 
 
-@derived
-def _high_water(src: Legacy, ctx: MigrationContext) -> DataFrame:
-    """Largest requisition id and number already in the target (warehouse loads)."""
-    req = warehouse.stock_requisitions(src, ctx).select("id_requi", F.col("num").cast("long").alias("num"))
-    opening = warehouse.stock_opening_balance(src, ctx).select("id_requi", F.lit(0).cast("long").alias("num"))
-    both = req.unionByName(opening)
-    return both.agg(F.coalesce(F.max("id_requi"), F.lit(0)).alias("_id0"), F.coalesce(F.max("num"), F.lit(0)).alias("_num0"))
-
-
 @derived
 def _fuel_numbered(src: Legacy, ctx: MigrationContext) -> DataFrame:
     ok, _ = _fuel(src, ctx)
-    rows = ok.crossJoin(F.broadcast(_high_water(src, ctx)))
+    rows = ok.crossJoin(F.broadcast(warehouse.requisition_high_water(src, ctx)))
     return control_break(rows, ["dtmovimento"], ["nrsequencia"], "_hdr", "item")
 
 

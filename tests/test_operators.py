@@ -105,3 +105,16 @@ def test_migrate_writes_outputs(spark, tmp_path):
     out = migrate(spark, "/root/testdata/sf0.001", str(tmp_path), names=names)
     for n in names:
         assert spark.read.parquet(out[n]).count() == run(n, spark, "/root/testdata/sf0.001").count()
+
+
+def test_control_break_many_slices_and_hot_header(spark):
+    # 40% of the rows share one header; headers must be dense in key order, items dense per header.
+    df = spark.range(0, 4000).select(
+        F.when(F.col("id") % 10 < 4, F.lit(500)).otherwise(F.col("id") % 97).alias("h"),
+        F.when(F.col("id") % 13 == 0, None).otherwise(F.col("id") % 7).alias("h2"),
+        F.col("id").alias("o")).repartition(9)
+    got = control_break(df, ["h", "h2"], ["o"], "hid", "item", start=5).select("h", "h2", "o", "hid", "item")
+    ref = df.select("h", "h2", "o",
+                    (F.dense_rank().over(Window.orderBy("h", "h2")) + 5).alias("hid"),
+                    F.row_number().over(Window.partitionBy("h", "h2").orderBy("o")).alias("item"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)

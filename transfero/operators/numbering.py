@@ -9,8 +9,8 @@ holds a large share of the data. The operators here number rows with range parti
 2. each slice is written once to the shared checkpoint folder with every row's (slice, position in
    slice), taken from ``monotonically_increasing_id`` in the writing task, so counting and numbering
    read identical data on every executor and after any retry;
-3. a running sum over the per-slice counts gives each slice's offset. That table has one row per slice, so its size is bounded by the
-   partition count, never by the data, and it is broadcast.
+3. a running sum over the per-slice counts gives each slice's offset. That table has one row per
+   slice, so its size is bounded by the partition count, never by the data, and it is broadcast.
 
 Group-relative numbers (a counter that restarts per group) are the global number minus the group's
 first global number, taken from a partially-aggregated ``min`` and joined back on the group key (AQE
@@ -114,21 +114,37 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column | st
     return picked.select(*key, *[F.col("_pick")[c].alias(c) for c in take])
 
 
+def _slice_offsets(tagged: DataFrame, part: str, out: str) -> DataFrame:
+    """Rows before each slice: a running sum over the per-slice counts (one row per slice)."""
+    counts = tagged.groupBy(part).agg(F.count(F.lit(1)).alias("_so_n"))
+    return counts.select(part, F.coalesce(F.sum("_so_n").over(
+        Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(out))
+
+
 def control_break(df: DataFrame, key: Sequence[str], order: Sequence[Column | str],
-                  header_id: str, item_no: str, start: Column | int = 0,
-                  header_order: Sequence[Column | str] | None = None) -> DataFrame:
-    """Number headers (one per distinct ``key``) in ``header_order`` and items within each header.
+                  header_id: str, item_no: str, start: int = 0) -> DataFrame:
+    """Number headers (one per distinct ``key``, in key order) and items within each header.
 
-    Replaces "sort, then open a new header when the key changes": headers are the distinct keys,
-    numbered globally after ``start``; each row gets its header's id and a per-header item counter in
-    ``order``. Returns the rows with ``header_id`` and ``item_no`` added.
+    Replaces "sort, then open a new header when the key changes". One pin: rows are numbered over
+    (key, order); an item's number is its distance from the header's first row, and a header's id is
+    the count of headers whose first row lies in earlier slices plus its rank among the first rows of
+    its own slice (at most one slice of rows). Returns the rows with ``header_id`` and ``item_no``.
     """
-    headers = df.select(*key).distinct()
+    order_cols = [*_as_order(key), *_as_order(order)]
+    tagged = pin(df, order_cols)
+    numbered = tagged.join(F.broadcast(_slice_offsets(tagged, "_pin_part", "_cb_off")), "_pin_part") \
+        .withColumn("_cb_n", F.col("_cb_off") + F.col("_pin_pos") + 1).drop("_cb_off", "_pin_pos")
     hk = [f"_cb_k{i}" for i in range(len(key))]
-    headers = global_number(headers, header_order or list(key), header_id, start) \
-        .select(*[F.col(k).alias(h) for k, h in zip(key, hk)], header_id)
-    items = group_number(df, key, order, item_no)
-    return items.join(headers, [items[k].eqNullSafe(headers[h]) for k, h in zip(key, hk)]).drop(*hk)
+    firsts = (numbered.groupBy(*key).agg(F.min(F.struct("_cb_n", "_pin_part")).alias("_cb_f"))
+              .select(*[F.col(k).alias(h) for k, h in zip(key, hk)],
+                      F.col("_cb_f._cb_n").alias("_cb_first"), F.col("_cb_f._pin_part").alias("_cb_part")))
+    rank = F.row_number().over(Window.partitionBy("_cb_part").orderBy("_cb_first"))
+    firsts = (firsts.join(F.broadcast(_slice_offsets(firsts, "_cb_part", "_cb_hoff")), "_cb_part")
+              .withColumn(header_id, (F.col("_cb_hoff") + rank + F.lit(start)).cast("long"))
+              .drop("_cb_part", "_cb_hoff"))
+    joined = numbered.join(firsts, [numbered[k].eqNullSafe(firsts[h]) for k, h in zip(key, hk)])
+    return (joined.withColumn(item_no, (F.col("_cb_n") - F.col("_cb_first") + 1).cast("long"))
+            .drop(*hk, "_cb_n", "_cb_first", "_pin_part"))
 
 
 def hierarchical_code(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],

@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from transfero.llm.common import store, table
 from transfero.llm.op03_mixing import mixture
 from transfero.llm.op05_packing import pack
+from transfero.llm.op07_similarity_join import one_of_each
 from transfero.llm.op08_secrets import redact
+from transfero.llm.op10_language import known_language
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language ID", lambda spark, docs, sf_dir: known_language(docs)),
+    ("n-gram Jaccard join", lambda spark, docs, sf_dir: one_of_each(docs)),
     ("secret scans", lambda spark, docs, sf_dir: redact(docs)),
-    ("mixing", lambda spark, docs, sf_dir: mixture(docs)),
+    ("mixing sources to target weights", lambda spark, docs, sf_dir: mixture(docs)),
     ("packing", lambda spark, docs, sf_dir: pack(docs)),
 ]
 

@@ -46,7 +46,7 @@ def fold(col: str | Column = "doc_id") -> Column:
 _shipped: set[str] = set()
 
 
-def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     """``df.mapInArrow`` after sending this package to the executors (once per application)."""
     context = df.sparkSession.sparkContext
     if context.applicationId not in _shipped:

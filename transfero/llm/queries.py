@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .op01_substring_dedup import op1_substring_dedup
+from .op02_neighbours import op2_neighbours
 from .op03_mixing import op3_mixing
 from .op04_quality import op4_quality
 from .op05_packing import op5_packing
 from .op06_token_counts import op6_token_counts
+from .op07_similarity_join import op7_similarity_join
 from .op08_secrets import op8_secrets
+from .op09_toxicity import op9_toxicity
+from .op10_language import op10_language
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mixing, op4_quality, op5_packing, op6_token_counts, op8_secrets)
+    f.__name__: f for f in (op1_substring_dedup, op2_neighbours, op3_mixing, op4_quality, op5_packing, op6_token_counts,
+                            op7_similarity_join, op8_secrets, op9_toxicity, op10_language)
 }
 ORACLE: dict[str, str] = {}

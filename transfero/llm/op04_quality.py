@@ -3,7 +3,8 @@
 A document's histogram of character classes and of common words is compared with the reference of its
 language by Jensen-Shannon distance (base 2, 0 to 1). References are sums over all documents of the
 language: the classes' shares, and the ``top`` most frequent words of at most ``short`` letters with
-their shares (all other words are one more bin). Documents below ``min_words`` words are too short to
+their shares (all other words are one more bin). The words' divergence is lessened by what a sample of
+the document's length shows by chance. Documents below ``min_words`` words are too short to
 judge and keep the base verdict.
 
 Languages are the values of ``lang`` with the most documents, ``max_langs`` at most, which bounds the
@@ -17,6 +18,8 @@ equal when their 64-bit hashes are.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +29,10 @@ SYMBOLS = "#*$%&|<>"
 REPEAT_WINDOW = 8
 #: Character classes as regular expressions; white space is whatever the others leave.
 CLASSES = (r"\p{Ll}", r"\p{Lu}", r"[\p{L}&&[^\p{Ll}\p{Lu}]]", r"\p{N}", r"[.,;:!?'\"()\-]", r"[\p{P}\p{S}&&[^.,;:!?'\"()\-]]")
-MIN_WORDS, MAX_CHAR, MAX_WORD = 50, 0.30, 0.55
+MIN_WORDS, MAX_CHAR, MAX_WORD = 50, 0.25, 0.27
+#: A short sample's histogram differs from its own source by about bins / (8 ln 2 n) in divergence; not all
+#: bins are filled, so fewer count.
+NOISE_BINS = 25
 TOP, SHORT, MAX_LANGS = 40, 4, 500
 
 
@@ -160,7 +166,9 @@ def quality(docs: DataFrame, min_words: int = MIN_WORDS, max_char: float = MAX_C
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         F.when(judged, let(mine, lambda p: js_distance(p, F.col("classes")))).alias("char_distance"),
         F.when(judged, common_word_distance(F.col("words"), F.col("ref_words"), F.col("shares"), F.col("other"))).alias("word_distance"))
-    good = F.coalesce((F.col("char_distance") <= max_char) & (F.col("word_distance") <= max_word), F.lit(True))
+    noise = NOISE_BINS / (8 * math.log(2) * F.col("n_words"))
+    alike = F.col("word_distance") * F.col("word_distance") - noise <= max_word * max_word
+    good = F.coalesce((F.col("char_distance") <= max_char) & alike, F.lit(True))
     return scored.withColumn("kept", ~F.col("base_failed") & good)
 
 

@@ -59,6 +59,18 @@ def pattern_spans(text: Column) -> Column:
         matches(text, r"[0-9a-f]{16,}", 2, lambda m: F.length(m) >= 16)))
 
 
+def without(text: Column, spans: Column, marker: str) -> Column:
+    """``text`` with every span of ``spans`` (sorted by start) replaced by ``marker``."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+
+    def add(a: Column, s: Column) -> Column:
+        gap = F.substring(text, (a["at"] + 1).cast("int"), F.greatest(s["start"] - a["at"], F.lit(0)).cast("int"))
+        return F.struct(F.greatest(a["at"], s["end"]).alias("at"),
+                        F.when(s["start"] >= a["at"], F.concat(a["out"], gap, F.lit(marker))).otherwise(a["out"]).alias("out"))
+
+    return F.aggregate(spans, start, add, lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))))
+
+
 def pairs(token: Column) -> Column:
     """Code of each pair of neighbouring characters: 128 times the first's ASCII code plus the second's."""
     return let(F.transform(F.filter(F.split(token, ""), lambda c: c != ""), lambda c: F.least(F.ascii(c), F.lit(127))), lambda c:
@@ -76,7 +88,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> list[float]:
     spans = some.select("text", pattern_spans(F.col("text")).alias("spans"))
     cut = lambda t, s: F.regexp_extract(F.substring(t, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")), r"([A-Za-z0-9+/_.=-]+)$", 1)
     secret = spans.select(F.explode(F.transform("spans", lambda s: cut(F.col("text"), s))).alias("token"), F.lit(True).alias("random"))
-    ordinary = spans.filter(F.size("spans") == 0).select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("token"), F.lit(False).alias("random"))
+    ordinary = spans.select(F.explode(F.regexp_extract_all(without(F.col("text"), F.col("spans"), " "), F.lit(r"[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("token"), F.lit(False).alias("random"))
     counted = (secret.unionByName(ordinary).select("random", F.explode(pairs(F.col("token"))).alias("pair"))
                .groupBy("pair").agg(F.count_if("random").alias("r"), F.count_if(~F.col("random")).alias("o")).collect())  # 16,384 rows at most
     r, o = [0] * 16384, [0] * 16384
@@ -125,14 +137,7 @@ def redact(docs: DataFrame, marker: str = "[SECRET]", model: list[float] | None
     ``n_chars``, if present, becomes the new length where a text changed.
     """
     found = secrets(docs, model)
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-
-    def add(a: Column, s: Column) -> Column:
-        gap = F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.greatest(s["start"] - a["at"], F.lit(0)).cast("int"))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"),
-                        F.when(s["start"] >= a["at"], F.concat(a["out"], gap, F.lit(marker))).otherwise(a["out"]).alias("out"))
-
-    clean = F.aggregate("_all", start, add, lambda a: F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.length("text"))))
+    clean = without(F.col("text"), F.col("_all"), marker)
     changed = F.size("_all") > 0
     out = found.withColumn("_clean", F.when(changed, clean).otherwise(F.col("text")))
     columns = {"text": F.col("_clean")}

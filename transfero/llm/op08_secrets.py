@@ -4,7 +4,7 @@ Patterns give spans of three kinds. Two first-order character models, one of ran
 ordinary identifiers, score every other token of at least ``MIN_TOKEN`` characters: the mean
 log-likelihood ratio per character pair, in nats, above ``threshold`` adds a span of kind ``markov``.
 The models are trained from labelled samples: values of pattern spans are random strings, other tokens
-of the sample are ordinary. The sample is about ``sample`` documents with a pattern span and as many
+of the sample, where two documents share them, are ordinary. The sample is about ``sample`` documents with a pattern span and as many
 of all documents, chosen by hash, never more than twice that; the scan reads every document whole.
 
 Match places come from the gaps between matches: ``split`` gives the gaps and ``regexp_extract_all`` the
@@ -17,6 +17,8 @@ without any labelled sample the models are equal and add nothing.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "markov")
-MIN_TOKEN, THRESHOLD, SAMPLE = 20, 0.8, 2000
+MIN_TOKEN, THRESHOLD, SAMPLE, DRAW = 20, 0.8, 2000, 5.0
 #: Maximal runs that the models score.
 TOKEN = r"[A-Za-z0-9+/_=-]{%d,}" % MIN_TOKEN
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
@@ -84,11 +86,14 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> list[float]:
     # cheap necessary condition, so that only likely documents are scanned for labels
     labelled = rows.filter(F.rlike("text", F.lit(rf"{ASSIGN}|AKIA[A-Z0-9]{{14}}|[0-9a-f]{{16}}")))
     labelled = store(spark, labelled, "secret-labels")
-    some = bounded_sample(labelled, sample, "doc_id", "text").unionByName(bounded_sample(rows, sample, "doc_id", "text"))
+    some = bounded_sample(labelled, sample, "doc_id", "text").unionByName(bounded_sample(rows, sample, "doc_id", "text")).distinct()
     spans = some.select("text", pattern_spans(F.col("text")).alias("spans"))
     cut = lambda t, s: F.regexp_extract(F.substring(t, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")), r"([A-Za-z0-9+/_.=-]+)$", 1)
     secret = spans.select(F.explode(F.transform("spans", lambda s: cut(F.col("text"), s))).alias("token"), F.lit(True).alias("random"))
-    ordinary = spans.select(F.explode(F.regexp_extract_all(without(F.col("text"), F.col("spans"), " "), F.lit(r"[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("token"), F.lit(False).alias("random"))
+    tokens = F.regexp_extract_all(without(F.col("text"), F.col("spans"), " "), F.lit(r"[A-Za-z0-9+/_=-]{4,}"), F.lit(0))
+    # an unlabelled random string hardly comes twice, an identifier does
+    ordinary = (spans.select(F.explode(F.array_distinct(tokens)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+                .filter("n > 1").select("token", F.lit(False).alias("random")))
     counted = (secret.unionByName(ordinary).select("random", F.explode(pairs(F.col("token"))).alias("pair"))
                .groupBy("pair").agg(F.count_if("random").alias("r"), F.count_if(~F.col("random")).alias("o")).collect())  # 16,384 rows at most
     r, o = [0] * 16384, [0] * 16384
@@ -96,13 +101,15 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> list[float]:
         r[row["pair"]], o[row["pair"]] = row["r"], row["o"]
     if not any(r) or not any(o):
         return [0.0] * 16384
-    import math
+    # a pair's chance after its first character, drawn towards the second character's own frequency, which
+    # is smoothed over the 66 characters that tokens have
+    single_r = [(sum(r[c::128]) + 0.5) / (sum(r) + 33) for c in range(128)]
+    single_o = [(sum(o[c::128]) + 0.5) / (sum(o) + 33) for c in range(128)]
     out = []
-    for first in range(128):
-        # a pair's chance after its first character, smoothed over 66 characters that tokens have
-        rows_r, rows_o = r[first * 128:first * 128 + 128], o[first * 128:first * 128 + 128]
-        sum_r, sum_o = sum(rows_r) + 33.0, sum(rows_o) + 33.0
-        out += [math.log((a + 0.5) / sum_r) - math.log((b + 0.5) / sum_o) for a, b in zip(rows_r, rows_o)]
+    for c in range(0, 16384, 128):
+        row_r, row_o = r[c:c + 128], o[c:c + 128]
+        sum_r, sum_o = sum(row_r) + DRAW, sum(row_o) + DRAW
+        out += [math.log((x + DRAW * p) / sum_r) - math.log((y + DRAW * q) / sum_o) for x, y, p, q in zip(row_r, row_o, single_r, single_o)]
     return out
 
 

@@ -53,6 +53,12 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
                             F.coalesce(F.col("found"), F.lit(0.0)) * F.col("weight")).alias("target")))
 
 
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df`` (a stored table) marked for broadcast if it has at most ``rows`` rows: sources are few, rows many,
+    and a join dealt by source would use no more tasks than there are sources."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """``doc_id, source, h, size, source_size, target, taken`` for every row of ``docs``."""
     spark = docs.sparkSession
@@ -72,7 +78,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) ->
     histogram, taken_below = first, edge.withColumn("bucket", F.lit(None).cast("long"))
     for level, bits in enumerate(LEVELS):
         if level:
-            known = taken_below.select(F.col("source").alias("s"), F.col("bucket").alias("b"))
+            known = small(taken_below).select(F.col("source").alias("s"), F.col("bucket").alias("b"))
             near = rows.join(known, rows["source"].eqNullSafe(known["s"]) & (top(LEVELS[level - 1]) == F.col("b")), "left_semi")
             histogram = near.groupBy("source", top(bits).alias("bucket")).agg(F.sum("size").alias("words"))
         run = (histogram.withColumn("sum", F.sum("words").over(at))
@@ -82,7 +88,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) ->
                  .select("source", "source_size", "target", "passes", (F.col("budget") - F.col("below")).alias("budget"), F.col("b").alias("bucket")))
         taken_below = store(spark, meets, f"mix-level{level}")
     # the last bucket: groups of equal (hash, id, size), of which the one at the threshold shares the rest
-    known = taken_below.select(F.col("source").alias("s"), F.col("bucket").alias("b"), "budget")
+    known = small(taken_below).select(F.col("source").alias("s"), F.col("bucket").alias("b"), "budget")
     groups = (rows.join(known, rows["source"].eqNullSafe(known["s"]) & (top(LEVELS[-1]) == F.col("b")))
               .groupBy("source", "budget", "h", "doc_id", "size").agg(F.count(F.lit(1)).alias("n")))
     order = Window.partitionBy("source").orderBy("h", F.col("doc_id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, 0)
@@ -93,6 +99,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) ->
                     F.floor((F.col("budget") - F.col("below")) / F.col("n")).alias("share")))
     per_source = edge.join(last, edge["source"].eqNullSafe(last["s"]), "left").drop("s")
     per_source = per_source.select(F.col("source").alias("s"), "source_size", "target", "passes", "budget", "edge_h", "edge_id", "edge_size", "share")
+    per_source = small(store(spark, per_source, "mix-edges"))
     # unsigned order of the hash is the order of its buckets
     unsigned = lambda c: F.col(c).bitwiseXOR(F.lit(-(1 << 63)))
     here = F.struct(unsigned("h"), F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1)), F.col("size"))

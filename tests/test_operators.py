@@ -118,3 +118,18 @@ def test_control_break_many_slices_and_hot_header(spark):
                     (F.dense_rank().over(Window.orderBy("h", "h2")) + 5).alias("hid"),
                     F.row_number().over(Window.partitionBy("h", "h2").orderBy("o")).alias("item"))
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)
+
+
+def test_hierarchical_code_beyond_a_million(spark):
+    df = spark.range(1, 1_002_001).select(F.lit(1).alias("g"), F.col("id").alias("k"))
+    coded = hierarchical_code(df, ["g"], ["k"])
+    assert coded.select("subgrupo", "codigo").distinct().count() == 1_002_000
+    got = {r["k"]: (r["subgrupo"], r["codigo"]) for r in coded.filter("k in (100000, 999999, 1000000, 1000001)").collect()}
+    assert got == {100000: ("100", "000"), 999999: ("999", "999"), 1000000: ("1000", "000"), 1000001: ("1000", "001")}
+
+
+def test_numbering_leaves_the_callers_cache_alone(spark):
+    df = spark.range(100).select("id").cache()
+    assert global_number(df, ["id"], "n").count() == 100
+    assert df.is_cached and df.storageLevel.useMemory
+    df.unpersist()

@@ -26,6 +26,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import zfill
 from ..session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row position in its lower 33 bits
@@ -42,20 +43,19 @@ def pin(df: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
     slice (``_pin_part``) and its position in the slice (``_pin_pos``), both taken in the task that
     writes the slice. The assignment is therefore frozen in shared storage: later stages and retried
     tasks read the same numbers. The input is cached first so that range sampling and the write do not
-    run the plan above twice. The table is plain parquet, so readers get column pruning and pushdown.
+    run the plan above twice; a frame the caller has cached is used as it is and stays cached. The table is plain parquet, so readers get column pruning and pushdown.
     """
     spark = df.sparkSession
     folder = ensure_checkpoint_dir(spark)
     path = f"{folder.rstrip('/')}/pinned-{uuid.uuid4().hex}"
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    own_cache = bool(order) and df.storageLevel == StorageLevel.NONE
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK) if own_cache else df
     try:
-        if order:
-            ranged = cached.repartitionByRange(*order).sortWithinPartitions(*order)
-        else:
-            ranged = cached
+        ranged = cached.repartitionByRange(*order).sortWithinPartitions(*order) if order else cached
         ranged.withColumn("_pin_mid", F.monotonically_increasing_id()).write.parquet(path)
     finally:
-        cached.unpersist()
+        if own_cache:
+            cached.unpersist()
     back = spark.read.parquet(path)
     return (back.withColumn("_pin_part", F.shiftright(F.col("_pin_mid"), _LOCAL_BITS))
             .withColumn("_pin_pos", F.col("_pin_mid").bitwiseAND((1 << _LOCAL_BITS) - 1))
@@ -150,10 +150,11 @@ def control_break(df: DataFrame, key: Sequence[str], order: Sequence[Column | st
 def hierarchical_code(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
                       width: int = 3) -> DataFrame:
     """Counter per group split into (subgroup, code): up to 999 -> ('000', nnn); above that the
-    thousands become the subgroup and the last three digits the code (1000 -> '001', '000')."""
+    thousands become the subgroup and the last three digits the code (1000 -> '001', '000'). ``width``
+    is the least width of a subgroup: the millionth row of a group has subgroup '1000', so codes stay distinct."""
     numbered = group_number(df, group, order, "_hc_n")
     n = F.col("_hc_n")
-    over = n > (10 ** width - 1)
-    sub = F.when(over, F.lpad((n / 1000).cast("long").cast("string"), width, "0")).otherwise(F.lit("0" * width))
-    code = F.when(over, F.substring(n.cast("string"), -3, 3)).otherwise(F.lpad(n.cast("string"), width, "0"))
+    size = F.lit(10 ** width).cast("long")
+    sub = zfill(((n - n % size) / size).cast("long"), width)  # a multiple of size, so the quotient is whole
+    code = zfill(n % size, width)
     return numbered.withColumn("subgrupo", sub).withColumn("codigo", code).withColumnRenamed("_hc_n", "seq")

@@ -41,7 +41,8 @@ def _plate(col: str) -> F.Column:
 def _vehicles(src: Legacy) -> DataFrame:
     v = src["frotas_veiculo"].filter(F.col("nrplacaveiculo") != "")
     p = src["produto"].select(F.col("cdmaterial").alias("cdcombustivel"), "descricao_unica")
-    return v.join(p, "cdcombustivel", "left").withColumn("placa", _plate("nrplacaveiculo"))
+    return v.join(p, "cdcombustivel", "left").withColumn("placa", _plate("nrplacaveiculo")) \
+        .filter(F.col("placa") != "")  # a plate of dashes or blanks would match every text
 
 
 def vehicles(src: Legacy, ctx: MigrationContext) -> DataFrame:

@@ -135,7 +135,17 @@ def product_codes(src: Legacy, ctx: MigrationContext) -> DataFrame:
 
 
 def product_subgroup_overflow(src: Legacy, ctx: MigrationContext) -> DataFrame:
-    """Overflow subgroups on the wide product table (every group holds thousands of products)."""
+    """Subgroups that groups of more than 999 products need beyond '000'."""
+    return _product_codes(src)[1]
+
+
+def product_rejects(src: Legacy, ctx: MigrationContext) -> DataFrame:
+    """Products whose class has no group, with the reason."""
+    return _product_codes(src)[2]
+
+
+def product_subgroup_overflow_wide(src: Legacy, ctx: MigrationContext) -> DataFrame:
+    """Overflow subgroups of the wide product stand-in, whose groups hold thousands of products."""
     return _product_codes(src, products="produto_wide", classes="classificacao_wide", goods=None, works=None)[1]
 
 
@@ -166,8 +176,14 @@ ORACLE_CODES = oracle(_CODES_BODY, ["classificacao", "classificacao_bens", "clas
                                     "unidademedida"], _oracle_codes_ctes())
 ORACLE_CODES_WIDE = oracle(_CODES_BODY, ["classificacao_wide", "produto_wide", "unidademedida"],
                            _oracle_codes_ctes(**_WIDE))
-ORACLE_OVERFLOW = oracle(_OVERFLOW_BODY, ["classificacao_wide", "produto_wide", "unidademedida"],
-                         _oracle_codes_ctes(**_WIDE))
+_PRODUCT_TABLES = ["classificacao", "classificacao_bens", "classificacao_obras", "produto", "unidademedida"]
+ORACLE_OVERFLOW = oracle(_OVERFLOW_BODY, _PRODUCT_TABLES, _oracle_codes_ctes())
+ORACLE_OVERFLOW_WIDE = oracle(_OVERFLOW_BODY, ["classificacao_wide", "produto_wide", "unidademedida"],
+                              _oracle_codes_ctes(**_WIDE))
+ORACLE_REJECTS = oracle(
+    "select cdmaterial codreduz, 'group not found' reason from produto where not exists (select 1 from grupos "
+    "where conv_tipo = cast(tpmaterial as varchar) and conv_id = cast(cdclassereduzido as varchar))",
+    _PRODUCT_TABLES, [("grupos", _oracle_groups_cte())])
 
 
 QUERIES = {
@@ -177,6 +193,8 @@ QUERIES = {
     "product_codes": product_codes,
     "product_codes_wide": product_codes_wide,
     "product_subgroup_overflow": product_subgroup_overflow,
+    "product_subgroup_overflow_wide": product_subgroup_overflow_wide,
+    "product_rejects": product_rejects,
 }
 ORACLE = {
     "units_of_measure": ORACLE_UNITS,
@@ -185,4 +203,6 @@ ORACLE = {
     "product_codes": ORACLE_CODES,
     "product_codes_wide": ORACLE_CODES_WIDE,
     "product_subgroup_overflow": ORACLE_OVERFLOW,
+    "product_subgroup_overflow_wide": ORACLE_OVERFLOW_WIDE,
+    "product_rejects": ORACLE_REJECTS,
 }

@@ -160,13 +160,14 @@ def quotation_bidder_totals(src: Legacy, ctx: MigrationContext) -> DataFrame:
 
 def quotation_item_prices(src: Legacy, ctx: MigrationContext) -> DataFrame:
     """Per quotation item: winner (lowest winning supplier id among its bids) and the mean of the
-    positive bid prices over the bids that have a supplier; 0 when there is none."""
+    positive bid prices over the bids that have a supplier; 0 when there is none. Grouped by the whole
+    quotation key: ``numorc`` keeps five digits of the number, so two quotations can share it."""
     items = _items(src)[0].select("numorc", "item", "id_cadorc", "qtd")
     bids = quotation_bids(src, ctx)
     winner = bids.groupBy("id_cadorc", "item").agg(F.min("ganhou").alias("_codif"))
-    pos = bids.filter(F.col("vlruni") > 0).groupBy("numorc", "item").agg(
+    pos = bids.filter(F.col("vlruni") > 0).groupBy("id_cadorc", "item").agg(
         F.sum(F.col("vlruni").cast("decimal(18,5)")).alias("_sum"), F.count("codif").alias("_n"))
-    out = items.join(winner, ["id_cadorc", "item"], "left").join(pos, ["numorc", "item"], "left")
+    out = items.join(winner, ["id_cadorc", "item"], "left").join(pos, ["id_cadorc", "item"], "left")
     valunt = F.when(F.col("_n") > 0, F.col("_sum").cast("double") / F.col("_n").cast("double"))
     valunt = F.coalesce(valunt, F.lit(0.0))
     return out.select("numorc", "item", "id_cadorc", "qtd", F.col("_codif").alias("codif"), valunt.alias("valunt"),
@@ -247,9 +248,9 @@ def _oracle_ctes(ctx: MigrationContext) -> list[tuple[str, str]]:
     prices = (
         "select c.numorc, c.item, c.id_cadorc, c.qtd, (select min(v.ganhou) from qbids v where v.id_cadorc = c.id_cadorc "
         "and v.item = c.item) codif, coalesce(m.valunt, 0) valunt, coalesce(m.valunt, 0) * c.qtd valtot, "
-        f"'{PRICE_KIND}' tipo, 'S' flg_aceito from qitems_final c left join (select numorc, item, case when count(codif) > 0 "
+        f"'{PRICE_KIND}' tipo, 'S' flg_aceito from qitems_final c left join (select id_cadorc, item, case when count(codif) > 0 "
         "then cast(sum(cast(vlruni as decimal(18,5))) as double) / cast(count(codif) as double) end valunt from qbids "
-        "where vlruni > 0 group by numorc, item) m on m.numorc = c.numorc and m.item = c.item")
+        "where vlruni > 0 group by id_cadorc, item) m on m.id_cadorc = c.id_cadorc and m.item = c.item")
     codes = master._oracle_codes_ctes() + [("codes", master._CODES_BODY)]
     sup = suppliers._oracle_supplier_ctes(ctx)
     return codes + sup + [("qheads", heads), ("qr", qr), ("qitems", qitems), ("qitems_final", items),

@@ -14,18 +14,18 @@ from ..sources.catalog import Legacy
 
 # Load order: master data, quotations, tenders, orders, warehouse, fleet, assets.
 LOAD_ORDER = [
-    "units_of_measure", "product_groups", "product_subgroups", "product_codes", "product_subgroup_overflow",
+    "units_of_measure", "product_groups", "product_subgroups", "product_codes", "product_subgroup_overflow", "product_rejects",
     "warehouses", "cost_centers", "supplier_inserts", "supplier_matches", "supplier_master",
     "quotation_headers", "quotation_items", "quotation_bidders", "quotation_bids", "quotation_bidder_totals",
     "quotation_item_prices",
     "tenders", "tender_sessions", "tender_lots", "tender_bidders", "tender_bidder_sessions", "tender_items",
     "tender_item_status", "tender_bids", "tender_rejected_bids", "tender_budget_lines", "price_registry_docs",
-    "price_registry", "price_registry_history", "tender_expiry",
+    "price_registry", "price_registry_history", "tender_expiry", "rejected_bids",
     "purchase_orders", "purchase_order_lines", "order_commitment_link", "order_registry_flag",
     "delivery_authorizations", "delivery_authorization_items", "rejected_sub_orders",
     "stock_opening_balance", "stock_requisitions", "stock_movements",
     "drivers", "vehicles", "vehicle_cost_centers", "fuel_requisitions", "fuel_items", "fuel_rejected",
-    "asset_classes", "asset_conditions", "asset_sectors", "disposal_types", "asset_register_final", "asset_ledger",
+    "asset_classes", "asset_conditions", "asset_sectors", "disposal_types", "asset_register", "asset_register_final", "asset_ledger",
 ]
 
 

@@ -172,7 +172,7 @@ ADAPTERS: dict[str, str] = {
     "movtoveiculo": (
         "select event_id nrsequencia, user_id cdveiculo, cast(ts as date) dtmovimento, event_id % 200 cditemmaterial, "
         "cast(value as decimal(18,5)) vlvalor, cast(event_id % 60 as decimal(18,5)) qtmovimentada, user_id % 100 + 1 "
-        "cdfornecedormotorista from events where event_type in ('purchase','view')"
+        "cdfornecedormotorista from events"
     ),
     "patri_item": (
         "select p_partkey cditem, case when p_partkey % 6 = 0 then '' else cast(p_partkey as string) end nrplaca, "

@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from .adapters import ADAPTERS
 
-_BASE_CACHE: dict[tuple, DataFrame] = {}
-
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -28,12 +26,12 @@ class Legacy:
         self.sf_dir = sf_dir.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
         self._memo: dict[tuple, object] = {}
+        self._base: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, id(self.spark), self.sf_dir, name)
-        if key not in _BASE_CACHE:
-            _BASE_CACHE[key] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return _BASE_CACHE[key]
+        if name not in self._base:
+            self._base[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._base[name]
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:

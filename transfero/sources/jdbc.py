@@ -66,6 +66,12 @@ SLICE_KEYS: dict[str, str] = {
     "propostapesquisa": "nrpesquisa",
     "itempesquisa": "nrpesquisa",
     "movtoveiculo": "nrsequencia",
+    "movimentovlcomplementar": "cditem",
+    "processopesquisa": "nrpesquisa",
+    "processolicitatorio": "nrprocesso",
+    "itemobjeto": "nrprocesso",
+    "tender_proposta": "nrprocesso",
+    "produto": "cdmaterial",
 }
 
 
@@ -79,7 +85,7 @@ class JdbcLegacy:
     entity: str
     options: dict[str, str] = field(default_factory=dict)
     targets: dict[str, DataFrame] = field(default_factory=dict)
-    slices: int = 64
+    rows_per_slice: int = 500_000
     _cache: dict[str, DataFrame] = field(default_factory=dict)
     _memo: dict[tuple, object] = field(default_factory=dict)
 
@@ -87,11 +93,11 @@ class JdbcLegacy:
         db, table = LEGACY_TABLES[name]
         return f"{self.entity.upper()}_{db}.dbo.{table}"
 
-    def _bounds(self, dbtable: str, col: str) -> tuple[int, int]:
-        # One tiny query per sliced table: the key range, so the slices cover it evenly.
+    def _bounds(self, dbtable: str, col: str) -> tuple[int, int, int]:
+        # One tiny query per sliced table: the key range, so the slices cover it evenly, and the row count.
         row = (self.spark.read.format("jdbc").options(**self.options).option("url", self.url)
-               .option("query", f"select min({col}) lo, max({col}) hi from {dbtable}").load().first())
-        return int(row["lo"] or 0), int(row["hi"] or 0)
+               .option("query", f"select min({col}) lo, max({col}) hi, count(*) n from {dbtable}").load().first())
+        return int(row["lo"] or 0), int(row["hi"] or 0), int(row["n"] or 0)
 
     def table(self, name: str) -> DataFrame:
         if name in self.targets:
@@ -102,9 +108,9 @@ class JdbcLegacy:
                 .option("dbtable", dbtable)
             key = SLICE_KEYS.get(name)
             if key:
-                lo, hi = self._bounds(dbtable, key)
+                lo, hi, n = self._bounds(dbtable, key)
                 reader = reader.option("partitionColumn", key).option("lowerBound", lo) \
-                    .option("upperBound", hi + 1).option("numPartitions", self.slices)
+                    .option("upperBound", hi + 1).option("numPartitions", max(1, -(-n // self.rows_per_slice)))
             df = reader.load()
             self._cache[name] = df.select(*[F.col(c).alias(c.lower()) for c in df.columns])
         return self._cache[name]

@@ -109,67 +109,86 @@ def common_word_distance(words: Column, ref_words: Column, shares: Column, other
 
 
 def class_counts(text: Column) -> Column:
-    counts = [F.length(text) - F.length(F.regexp_replace(text, f"{c}+", "")) for c in CLASSES]
-    return F.array(*counts)
+    """Characters of each class; a class is taken out of the text before the next is counted."""
+    def step(rest: Column, lengths: list[Column]) -> Column:
+        lengths = [*lengths, F.length(rest)]
+        if len(lengths) > len(CLASSES):
+            return F.array(*[a - b for a, b in zip(lengths, lengths[1:])])
+        return let(F.regexp_replace(rest, f"{CLASSES[len(lengths) - 1]}+", ""), lambda r: step(r, lengths))
 
+    return let(text, lambda t: step(t, []))
 
-def references(docs: DataFrame, top: int = TOP, max_langs: int = MAX_LANGS) -> DataFrame:
-    """One row per language and one for all (``key`` null): ``key, ref_words, shares, other, classes``."""
-    spark = docs.sparkSession
+
+def languages(docs: DataFrame, max_langs: int = MAX_LANGS) -> Column:
+    """The language if it is among the ``max_langs`` most frequent, else null."""
     langs = [r[0] for r in docs.filter("lang is not null").groupBy("lang").count()
              .orderBy(F.desc("count"), "lang").limit(max_langs).collect()]
-    key = F.when(F.col("lang").isin(langs), F.col("lang")) if langs else F.lit(None).cast("string")
-    no_key = F.lit(None).cast("string").alias("key")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(key.alias("key"), text.alias("text"))
-
-    names = [f"c{i}" for i in range(len(CLASSES))]
-    counts = rows.select("key", class_counts(F.col("text")).alias("c"), F.length("text").alias("length"),
-                         F.regexp_count("text", F.lit(WORD)).alias("total"))
-    sums = store(spark, counts.groupBy("key").agg(
-        *[F.sum(F.col("c")[i]).alias(n) for i, n in enumerate(names)], F.sum("length").alias("length"),
-        F.sum("total").alias("total")), "quality-classes")
-    names += ["length", "total"]
-    sums = sums.filter("key is not null").unionByName(sums.agg(*[F.sum(n).alias(n) for n in names]).select(no_key, *names))
-
-    short = F.filter(split_words(F.col("text")), lambda w: (F.length(w) <= SHORT) & F.rlike(w, F.lit(r"^\p{L}+$")))
-    words = store(spark, rows.select("key", F.explode(short).alias("word")).groupBy("key", F.lower("word").alias("word"))
-                  .agg(F.count(F.lit(1)).alias("n")), "quality-words")
-    words = words.filter("key is not null").unionByName(words.groupBy("word").agg(F.sum("n").alias("n")).select(no_key, "word", "n"))
+    return F.when(F.col("lang").isin(langs), F.col("lang")) if langs else F.lit(None).cast("string")
+
+
+NO_KEY = "cast(null as string) key"
+
+
+def word_references(rows: DataFrame, top: int = TOP) -> DataFrame:
+    """One row per language and one for all (``key`` null): ``key, ref_words, shares, other`` of rows (key, text)."""
+    spark = rows.sparkSession
+    words = split_words(F.col("text"))
+    item = lambda w, n: F.struct(w.alias("word"), n.cast("long").alias("n"))
+    short = let(words, lambda ws: F.concat(
+        F.transform(F.filter(ws, lambda w: (F.length(w) <= SHORT) & F.rlike(w, F.lit(r"^\p{L}+$"))), lambda w: item(F.lower(w), F.lit(1))),
+        F.array(item(F.lit(None).cast("string"), F.size(ws)))))  # a null word counts all words
+    counted = store(spark, rows.select("key", F.explode(short).alias("x")).groupBy("key", F.col("x.word").alias("word"))
+                    .agg(F.sum("x.n").alias("n")), "quality-words")
+    counted = counted.filter("key is not null").unionByName(counted.groupBy("word").agg(F.sum("n").alias("n")).selectExpr(NO_KEY, "word", "n"))
+    total = counted.filter("word is null").select("key", F.greatest("n", F.lit(1)).alias("total"))
     best = Window.partitionBy("key").orderBy(F.desc("n"), "word")
-    ranked = (words.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= top).groupBy(F.col("key").alias("k"))
+    ranked = (counted.filter("word is not null").withColumn("r", F.row_number().over(best)).filter(F.col("r") <= top).groupBy(F.col("key").alias("k"))
               .agg(F.sort_array(F.collect_list(F.struct("r", "word", "n"))).alias("list")))
-    share = F.transform("list", lambda x: x["n"] / F.greatest("total", F.lit(1)))
-    classes = [F.col(f"c{i}") / F.greatest("length", F.lit(1)) for i in range(len(CLASSES))]
-    return store(spark, sums.join(ranked, sums["key"].eqNullSafe(ranked["k"]), "left")
+    share = F.transform("list", lambda x: x["n"] / F.col("total"))
+    return store(spark, total.join(ranked, total["key"].eqNullSafe(ranked["k"]), "left")
                  .withColumn("list", F.coalesce("list", F.array().cast("array<struct<r:int,word:string,n:bigint>>")))
                  .select("key", F.transform("list", lambda x: x["word"]).alias("ref_words"), share.alias("shares"),
-                         F.aggregate(share, F.lit(1.0), lambda a, x: a - x).alias("other"),
-                         F.array(*classes, 1 - sum(classes[1:], classes[0])).alias("classes")), "quality-references")
+                         F.aggregate(share, F.lit(1.0), lambda a, x: a - x).alias("other")), "quality-word-references")
+
+
+def class_references(rows: DataFrame) -> DataFrame:
+    """One row per language and one for all (``key`` null): ``key, classes`` of rows (key, c: counts, length)."""
+    spark = rows.sparkSession
+    names = [*[f"c{i}" for i in range(len(CLASSES))], "length"]
+    sums = store(spark, rows.groupBy("key").agg(*[F.sum(F.col("c")[i]).alias(n) for i, n in enumerate(names[:-1])], F.sum("length").alias("length")), "quality-classes")
+    sums = sums.filter("key is not null").unionByName(sums.agg(*[F.sum(n).alias(n) for n in names]).selectExpr(NO_KEY, *names))
+    classes = [F.col(n) / F.greatest("length", F.lit(1)) for n in names[:-1]]
+    return store(spark, sums.select("key", F.array(*classes, 1 - sum(classes[1:], classes[0])).alias("classes")), "quality-class-references")
 
 
 def quality(docs: DataFrame, min_words: int = MIN_WORDS, max_char: float = MAX_CHAR, max_word: float = MAX_WORD) -> DataFrame:
-    """Base counts, ``char_distance, word_distance`` and ``base_failed, kept`` for every row."""
+    """Base counts, ``char_distance, word_distance`` and ``base_failed, kept`` for every row.
+
+    Texts are read twice: for the common words, then for everything else of a row; the classes' references
+    and distances come from the narrow rows that the second pass stores.
+    """
+    spark = docs.sparkSession
     docs = docs.select("doc_id", "lang", "text")
-    refs = references(docs)
-    langs = [r[0] for r in refs.filter("key is not null").select("key").collect()]
-    key = F.when(F.col("lang").isin(langs), F.col("lang")) if langs else F.lit(None).cast("string")
+    key = languages(docs)
+    refs = word_references(docs.select(key.alias("key"), "text"))
     rows = base_rules(docs)
     joined = rows.join(F.broadcast(refs), key.eqNullSafe(refs["key"]), "left")
-    counts = class_counts(F.col("text"))
-    length = F.greatest(F.length("text"), F.lit(1))
-    mine = let(counts, lambda c: F.concat(F.transform(c, lambda x: x / length),
-                                          F.array(1 - F.aggregate(c, F.lit(0), lambda a, x: a + x) / length)))
     judged = F.col("n_words") >= min_words
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    scored = store(spark, joined.select(
+        "doc_id", key.alias("k"), *counts, class_counts(F.col("text")).alias("c"), F.length("text").alias("length"),
+        F.when(judged, common_word_distance(F.col("words"), F.col("ref_words"), F.col("shares"), F.col("other"))).alias("word_distance")), "quality-rows")
+    classes = class_references(scored.withColumnRenamed("k", "key"))
+    length = F.greatest("length", F.lit(1))
+    mine = F.concat(F.transform("c", lambda x: x / length), F.array(1 - F.aggregate("c", F.lit(0), lambda a, x: a + x) / length))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    scored = joined.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
-        F.when(judged, let(mine, lambda p: js_distance(p, F.col("classes")))).alias("char_distance"),
-        F.when(judged, common_word_distance(F.col("words"), F.col("ref_words"), F.col("shares"), F.col("other"))).alias("word_distance"))
+    out = scored.join(F.broadcast(classes), scored["k"].eqNullSafe(classes["key"]), "left").select(
+        "doc_id", *counts, failed.alias("base_failed"),
+        F.when(judged, let(mine, lambda p: js_distance(p, F.col("classes")))).alias("char_distance"), "word_distance")
     noise = NOISE_BINS / (8 * math.log(2) * F.col("n_words"))
     alike = F.col("word_distance") * F.col("word_distance") - noise <= max_word * max_word
     good = F.coalesce((F.col("char_distance") <= max_char) & alike, F.lit(True))
-    return scored.withColumn("kept", ~F.col("base_failed") & good)
+    return out.withColumn("kept", ~F.col("base_failed") & good)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,8 @@ def drivers(src: Legacy, ctx: MigrationContext) -> DataFrame:
         F.col("nmfuncionario").alias("nome"),
         F.col("nrcarteirahabilitacao").cast("decimal(20,0)").cast("string").alias("cnh"),
         F.col("dslogradouro").alias("secretaria"),
-        cut("nrfonemotorista", 15).alias("telefone_celular"))
+        cut("nrfonemotorista", 15).alias("telefone_celular"),
+        F.col("dtvalidadehabilitacao").alias("dtvenccnh"), F.col("cdcategoriahabilitacao").alias("categcnh"))
 
 
 def _plate(col: str) -> F.Column:
@@ -41,14 +42,19 @@ def _plate(col: str) -> F.Column:
 def _vehicles(src: Legacy) -> DataFrame:
     v = src["frotas_veiculo"].filter(F.col("nrplacaveiculo") != "")
     p = src["produto"].select(F.col("cdmaterial").alias("cdcombustivel"), "descricao_unica")
-    return v.join(p, "cdcombustivel", "left").withColumn("placa", _plate("nrplacaveiculo")) \
+    t = src["tipoveiculo"].select("cdtpveiculo", F.col("dstpveiculo").alias("tipo"))
+    return v.join(t, "cdtpveiculo", "left").join(p, "cdcombustivel", "left").withColumn("placa", _plate("nrplacaveiculo")) \
         .filter(F.col("placa") != "")  # a plate of dashes or blanks would match every text
 
 
 def vehicles(src: Legacy, ctx: MigrationContext) -> DataFrame:
+    """The model is the model year, as in the source job; ``tipo`` is the vehicle type it reads but does not write."""
     v = _vehicles(src)
     return v.select(
         F.col("cdveiculo").alias("sequencia"), "placa", F.col("dtanofabricacao").alias("ano"),
+        F.col("dtanomodelo").alias("modelo"), F.col("dtanomodelo").alias("anomod"), F.col("nrrenavan").alias("renavam"),
+        F.col("nrchassi").alias("chassi"), F.col("nrmarcadorinicial").alias("kminicial"),
+        F.col("nrmarcadoratual").alias("kmatual"), "tipo",
         cut("descricao_unica", 1).alias("combustivel"), F.lit(ODOMETER).alias("tipo_marcador"),
         F.lit(AVERAGE_UNIT).alias("tipo_media"), F.lit(DISTANCE_TCE).alias("deslocamento_tce"))
 
@@ -212,14 +218,16 @@ def _oracle(ctx: MigrationContext) -> dict[str, str]:
                 "coalesce(qtmovimentada = 0, false)")
     drivers_sql = ("select cast(cdfuncionario as bigint) cod, nmfuncionario nome, cast(cast(nrcarteirahabilitacao as "
                    "decimal(20,0)) as varchar) cnh, dslogradouro secretaria, substring(nrfonemotorista, 1, 15) "
-                   "telefone_celular from motorista")
+                   "telefone_celular, dtvalidadehabilitacao dtvenccnh, cdcategoriahabilitacao categcnh from motorista")
     veh_sql = (f"select cdveiculo sequencia, placa, dtanofabricacao ano, substring(descricao_unica, 1, 1) combustivel, "
-               f"'{ODOMETER}' tipo_marcador, '{AVERAGE_UNIT}' tipo_media, '{DISTANCE_TCE}' deslocamento_tce from veh")
+               f"'{ODOMETER}' tipo_marcador, '{AVERAGE_UNIT}' tipo_media, '{DISTANCE_TCE}' deslocamento_tce, "
+               "dtanomodelo modelo, dtanomodelo anomod, nrrenavan renavam, nrchassi chassi, nrmarcadorinicial kminicial, "
+               "nrmarcadoratual kmatual, (select min(dstpveiculo) from tipoveiculo t where t.cdtpveiculo = veh.cdtpveiculo) tipo from veh")
     full = wh_ctes + sup_ctes + [wreq] + fleet + fuel
     codes_and_fuel = warehouse._oracle_opening_ctes(ctx)[:4] + fuel[:2]
     return {
         "drivers": oracle(drivers_sql, ["motorista"]),
-        "vehicles": oracle(veh_sql, ["frotas_veiculo", "produto"], [fleet[1]]),
+        "vehicles": oracle(veh_sql, ["frotas_veiculo", "produto", "tipoveiculo"], [fleet[1]]),
         "vehicle_cost_centers": oracle("select * from vcc", _FLEET_TABLES, fleet),
         "fuel_items": oracle(items, all_tables, full),
         "fuel_requisitions": oracle(heads, all_tables, full),

@@ -105,7 +105,15 @@ ADAPTERS: dict[str, str] = {
         "o_orderstatus = 'F' then -1 else 0 end inpregaoeletronico, case when o_orderstatus = 'O' then -1 else 0 end "
         "inregistropreco, case when o_orderkey % 10 = 0 then 1 else 0 end cdunidadegestora, case when o_orderkey % 3 = "
         "0 then 'Menor preço - Global' else 'Menor preço - Item' end dscriterio, o_orderdate dtexpedicao, case when "
-        "o_orderkey % 8 = 0 then null else o_orderdate end dthomologacao from orders"
+        "o_orderkey % 8 = 0 then null else o_orderdate end dthomologacao, "
+        "repeat(concat(o_orderpriority, ' '), cast(o_orderkey % 100 as int)) daobjeto, concat('Objeto ', o_orderpriority) dsobjeto, "
+        "o_orderkey % 300 nrmodalidade, case when o_orderkey % 9 = 0 then null else o_orderdate end dtrespostasolicitacao, "
+        "case when o_orderkey % 5 = 0 then null else o_orderdate end dtinicioenvioproposta, "
+        "case when o_orderkey % 7 = 0 then null else o_orderdate end dtterminorecebimento, "
+        "case when o_orderkey % 13 = 0 then null else o_orderdate end dtjulgamentoproposta from orders"
+    ),
+    "cadlic_sessao_existing": (
+        "select o_orderkey numlic from orders where o_orderkey % 17 = 0"
     ),
     "itemobjeto": (
         "select l_orderkey id_processolicitatorio, l_orderkey nrprocesso, cast(year(o_orderdate) as int) dtanoprocesso, "
@@ -163,7 +171,10 @@ ADAPTERS: dict[str, str] = {
     "frotas_veiculo": (
         "select c_custkey cdveiculo, case when c_custkey % 25 = 0 then '' else concat('AB', chr(65 + cast(c_custkey % "
         "26 as int)), '-', lpad(cast(c_custkey as string), 4, '0')) end nrplacaveiculo, 1990 + cast(c_custkey % 20 as "
-        "int) dtanofabricacao, c_custkey % 2000 cdcombustivel from customer"
+        "int) dtanofabricacao, c_custkey % 2000 cdcombustivel, "
+        "c_nationkey % 6 cdtpveiculo, 1990 + cast(c_custkey % 20 as int) + cast(c_custkey % 2 as int) dtanomodelo, "
+        "lpad(cast(c_custkey as string), 11, '0') nrrenavan, concat('9BW', lpad(cast(c_custkey as string), 14, '0')) nrchassi, "
+        "c_custkey % 1000 * 10 nrmarcadorinicial, c_custkey % 1000 * 10 + c_nationkey * 100 nrmarcadoratual from customer"
     ),
     "centrocusto_placa": (
         "select c_custkey + 100 codccusto, concat('Carro placa ab', lower(chr(65 + cast(c_custkey % 26 as int))), ' ', "
@@ -178,8 +189,12 @@ ADAPTERS: dict[str, str] = {
         "select p_partkey cditem, case when p_partkey % 6 = 0 then '' else cast(p_partkey as string) end nrplaca, "
         "cast(p_partkey % 15 as int) cdtpingresso, p_size % 25 cdlocalizacao, cast(substring(p_brand,7) as int) "
         "cdclassificacao, p_size % 4 + 1 cdestadoconser, p_name dsreduzida, cast(p_retailprice as decimal(18,5)) "
-        "vlaquisicao, p_size % 2 cdmetododepreciacao, p_size % 11 vidautil, cast(p_partkey % 3 as int) cdcontabil from "
-        "part"
+        "vlaquisicao, p_size % 2 cdmetododepreciacao, p_size % 11 vidautil, cast(p_partkey % 3 as int) cdcontabil, "
+        "concat('NF-', lpad(cast(p_partkey as string), 9, '0')) nrnotafiscal, "
+        "case when p_partkey % 40 = 9 then null else date '2000-01-01' + cast(p_partkey % 6000 as int) end dtaquisicao, "
+        "case when p_partkey % 4 = 0 then null else date '2000-02-01' + cast(p_partkey % 6000 as int) end dtiniciodepreciacao, "
+        "cast(floor(p_retailprice * 90) / 100 as decimal(18,5)) vlatual, "
+        "cast(floor(p_retailprice * 10) / 100 as decimal(18,5)) vlresidual, cast(p_partkey % 100 + 1 as int) cdfornecedor from part"
     ),
     "localizacao": (
         "select n_nationkey cdlocalreduzido, n_regionkey nrnivel, n_name dslocalizacao, case when n_nationkey % 6 = 5 "
@@ -188,7 +203,7 @@ ADAPTERS: dict[str, str] = {
     "patri_movimento": (
         "select l_partkey cditem, l_shipdate dtmovimento, case when l_linenumber = 1 then 'I' when l_returnflag = 'R' "
         "and l_linestatus = 'F' and l_linenumber = 7 then 'B' when l_returnflag = 'A' then 'T' when l_returnflag = 'N' "
-        "then 'R' else 'E' end intipomovimento, cast(l_extendedprice as decimal(18,5)) vlareavaliar, "
+        "then case when l_partkey % 10 = 3 then 'T' else 'R' end else 'E' end intipomovimento, cast(l_extendedprice as decimal(18,5)) vlareavaliar, "
         "cast(floor(l_extendedprice * 90) / 100 as decimal(18,5)) vlanterior, case when l_linenumber % 3 = 0 then null "
         "else cast(l_suppkey % 25 as int) end cdlocalanterior, case when l_returnflag = 'N' then null else "
         "cast(l_orderkey % 25 as int) end cdlocalatual, case when l_tax = 0 then -1 else 0 end inestorno, case when "
@@ -201,7 +216,7 @@ ADAPTERS: dict[str, str] = {
         "lineitem where l_linenumber = 2 and l_orderkey % 11 = 0"
     ),
     "movimentovlcomplementar": (
-        "select l_partkey + case when l_orderkey % 13 = 0 then 10000000 else 0 end cditem, l_shipdate dtmovimento, "
+        "select l_partkey + case when l_orderkey % 13 = 0 or l_partkey % 10 = 3 then 10000000 else 0 end cditem, l_shipdate dtmovimento, "
         "cast(l_tax * 100 as decimal(18,5)) vlcomplementar, 0 inestorno from lineitem where l_linenumber = 3"
     ),
     "iteminstrumentocontratual": (
@@ -218,8 +233,9 @@ ADAPTERS: dict[str, str] = {
     ),
     "motorista": (
         "select c_custkey cdfuncionario, c_name nmfuncionario, cast(10000000000 + c_custkey as decimal(14,0)) "
-        "nrcarteirahabilitacao, c_mktsegment dslogradouro, concat('0055-11-9999-', c_name) nrfonemotorista from "
-        "customer"
+        "nrcarteirahabilitacao, c_mktsegment dslogradouro, concat('0055-11-9999-', c_name) nrfonemotorista, "
+        "case when c_custkey % 8 = 0 then null else date '2024-01-01' + cast(c_custkey % 1500 as int) end dtvalidadehabilitacao, "
+        "case c_custkey % 3 when 0 then 'B' when 1 then 'D' else 'AB' end cdcategoriahabilitacao from customer"
     ),
     "tipoveiculo": (
         "select r_regionkey cdtpveiculo, r_name dstpveiculo from region"

@@ -78,7 +78,7 @@ SLICE_KEYS: dict[str, str] = {
 @dataclass
 class JdbcLegacy:
     """Legacy tables of one entity over JDBC; ``targets`` holds pre-existing target tables
-    (existing suppliers, commitments, cost centres, ...) as DataFrames supplied by the caller."""
+    (existing suppliers, commitments, tender sessions, cost centres, ...) as DataFrames supplied by the caller."""
 
     spark: SparkSession
     url: str

@@ -71,8 +71,8 @@ ADAPTERS: dict[str, str] = {
         "nome from supplier where s_suppkey % 3 < 2"
     ),
     "orgao": (
-        "select n_nationkey cdorgaoreduzido, n_name naorgao, 1998 dtano from nation union all select n_nationkey, "
-        "concat(n_name,' B'), 1999 from nation where n_nationkey % 4 = 0"
+        "select n_nationkey cdorgaoreduzido, n_name naorgao, concat('ORGAO ', n_name) nmorgao, 1998 dtano from nation union all "
+        "select n_nationkey, concat(n_name,' B'), concat('ORGAO ', n_name, ' B'), 1999 from nation where n_nationkey % 4 = 0"
     ),
     "processopesquisa": (
         "select o_orderkey nrpesquisa, cast(year(o_orderdate) as int) dtanopesquisa, case when o_orderkey % 6 = 0 then "
@@ -107,7 +107,8 @@ ADAPTERS: dict[str, str] = {
         "0 then 'Menor preço - Global' else 'Menor preço - Item' end dscriterio, o_orderdate dtexpedicao, case when "
         "o_orderkey % 8 = 0 then null else o_orderdate end dthomologacao, "
         "repeat(concat(o_orderpriority, ' '), cast(o_orderkey % 100 as int)) daobjeto, concat('Objeto ', o_orderpriority) dsobjeto, "
-        "o_orderkey % 300 nrmodalidade, case when o_orderkey % 9 = 0 then null else o_orderdate end dtrespostasolicitacao, "
+        "o_orderkey % 300 nrmodalidade, cast(substring(o_orderpriority,1,1) as int) cdcondicaopagamento, "
+        "case when o_orderkey % 9 = 0 then null else o_orderdate end dtrespostasolicitacao, "
         "case when o_orderkey % 5 = 0 then null else o_orderdate end dtinicioenvioproposta, "
         "case when o_orderkey % 7 = 0 then null else o_orderdate end dtterminorecebimento, "
         "case when o_orderkey % 13 = 0 then null else o_orderdate end dtjulgamentoproposta from orders"
@@ -144,8 +145,12 @@ ADAPTERS: dict[str, str] = {
         "decimal(18,5)) vlcotacaoproposta, cast(l_extendedprice as decimal(18,5)) vltotalitem, c_nationkey "
         "cdorgaoreduzido, o_orderdate dtempenho, o_orderkey + 7 nrempenhocp, cast(year(o_orderdate) as int) "
         "dtanoempenhocp, case when o_orderkey % 4 = 0 then o_orderkey else null end nrinstrumentocontratual, "
-        "cast(year(o_orderdate) as int) dtanoinstrumentocontratual from lineitem join orders on o_orderkey = l_orderkey "
-        "join customer on c_custkey = o_custkey"
+        "cast(year(o_orderdate) as int) dtanoinstrumentocontratual, cast(o_orderkey % 40 as int) cddespesa "
+        "from lineitem join orders on o_orderkey = l_orderkey join customer on c_custkey = o_custkey"
+    ),
+    "integrainstrumentopedido": (
+        "select l_orderkey nrprocesso, cast(year(o_orderdate) as int) dtanoprocesso, 4 cdtipoprocesso, l_linenumber % 3 lote, "
+        "l_linenumber nritem, l_partkey cdmaterial from lineitem join orders on o_orderkey = l_orderkey where l_orderkey % 10 = 1"
     ),
     "despes": (
         "select o_orderkey pkemp, o_orderkey + 7 id_nrempenho, cast(year(o_orderdate) as int) id_dtanoemissao, "

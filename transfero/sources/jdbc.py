@@ -28,6 +28,7 @@ LEGACY_TABLES: dict[str, tuple[str, str]] = {
     "unidadefederacao": ("ALMOX", "unidadefederacao"),
     "contacorrentefornecedor": ("ALMOX", "contacorrentefornecedor"),
     "almox_movimento": ("ALMOX", "movimento"),
+    "integrainstrumentopedido": ("ALMOX", "INTEGRAINSTRUMENTOPEDIDO"),
     "orgao": ("COMPRAS", "ORGAO"),
     "processopesquisa": ("COMPRAS", "processopesquisa"),
     "itempesquisa": ("COMPRAS", "itempesquisa"),

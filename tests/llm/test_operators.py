@@ -75,6 +75,7 @@ def test_neighbours(spark):
     x[100:400] = x[100]  # a frequent vector: ties go to the smaller id
     rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
     rows += [(5000, None, 1), (5020, [], 1), (5040, [0.0] * 16, 1), (5060, [float("nan")] * 16, 1), (5080, [None] + [1.0] * 15, 1), (5100, [1.0] * 3, 1), (None, [1.0] * 16, 1), rows[20]]
+    rows += [rows[41]] * 30  # an id that comes often counts once
     got = defaultdict(dict)
     for row in search(spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int"), F.col("vec_id") % 20 == 0).collect():
         got[row.query_id][row.rank] = (row.vec_id, row.score)

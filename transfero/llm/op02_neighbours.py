@@ -147,13 +147,14 @@ def best(queries: pa.Table, members: pa.Table, k: int) -> pa.Table:
     ids, x = np.asarray(members.column("vec_id")), matrix(members.column("embedding"))
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], x[order]
+    most = k * int(np.unique(ids, return_counts=True)[1].max(initial=1))  # rows that hold k different ids, even if ids repeat
     q_ids, q = np.asarray(queries.column("query_id")), matrix(queries.column("embedding"))
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for lo in range(0, len(q), 256):
         rough = q[lo:lo + 256] @ x.T
         for row, query in zip(rough, range(lo, lo + len(rough))):
             row[ids == q_ids[query]] = -np.inf
-            kth = np.partition(row, -k)[-k] if len(row) > k else -np.inf
+            kth = np.partition(row, -most)[-most] if len(row) > most else -np.inf
             near = np.flatnonzero((row >= kth - 1e-9 * (1 + abs(kth))) & (row > -np.inf)) if np.isfinite(kth) else np.flatnonzero(row > -np.inf)
             exact = (x[near] * q[query]).sum(1)
             ranked = np.lexsort((ids[near], -exact))

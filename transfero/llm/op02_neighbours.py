@@ -6,9 +6,11 @@ row into its most probable part and routes a query to the parts it finds most pr
 ``RECALL`` on neighbours held out from the sample; rows of those parts are reranked by exact inner
 products in double precision.
 
-A part's rows are split into blocks of about ``ROWS`` by a hash of the id, its queries likewise, so that
-a frequent vector or a large part is many groups of bounded size; only per-part counts (at most 256)
-come to the driver.
+Parts of one subtree of the bisection form a bin, ``BINS`` at most: a task searches the parts of a bin that
+a query is routed to and keeps its best ``k`` of them all, so that what is shuffled does not grow with the
+number of parts. A bin's rows are split into blocks of about ``ROWS`` by a hash of the id, its queries
+likewise, so that a frequent vector or a large part is many groups of bounded size; only per-part counts
+(at most 256) come to the driver.
 
 Defined results: null ids, and vectors that are null, empty, zero, of another length than most, or hold
 null or non-finite components take no part; an id that occurs several times counts once, with its best
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +32,7 @@ from .common import bounded_sample, map_arrow, store, table
 
 SAMPLE, NEAR, HIDDEN = 8192, 12, 128
 ROWS, QUERIES, PER_PART = 16_000, 4_000, 800
-RECALL = 0.95
+RECALL, BINS = 0.95, 16
 
 
 def valid(embedding: Column) -> Column:
@@ -170,6 +173,27 @@ def best(queries: pa.Table, members: pa.Table, k: int) -> pa.Table:
     return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
 
 
+def best_of_parts(queries: pa.Table, members: pa.Table, k: int) -> pa.Table:
+    """Top ``k`` over the members' parts that each query lists, one part after the other."""
+    found = [pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})]
+    if queries.num_rows and members.num_rows:
+        part = members.column("part").to_numpy()
+        lists = queries.column("parts").combine_chunks()
+        asked = np.asarray(lists.flatten())
+        row = np.repeat(np.arange(len(lists)), np.asarray(pc.list_value_length(lists)))
+        for p in np.unique(part).tolist():
+            asking = row[asked == p]
+            if len(asking):
+                found.append(best(queries.take(pa.array(asking)), members.take(pa.array(np.flatnonzero(part == p))), k))
+    t = pa.concat_tables(found)
+    q, v, s = (t.column(c).to_numpy() for c in ("query_id", "vec_id", "score"))
+    order = np.lexsort((-s, v, q))  # an id that comes in several parts counts once, with its best score
+    order = order[np.append(True, (q[order][1:] != q[order][:-1]) | (v[order][1:] != v[order][:-1]))[:len(order)]]
+    order = order[np.lexsort((v[order], -s[order], q[order]))]
+    rank = np.arange(len(order)) - np.searchsorted(q[order], q[order])
+    return t.take(pa.array(order[rank < k]))
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found for every row of ``vectors`` (vec_id, embedding) chosen by ``is_query``."""
     spark = vectors.sparkSession
@@ -188,6 +212,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     placed = store(spark, map_arrow(rows, place, f"vec_id long, embedding {kind}, q boolean, part int"), "ann-rows")
     counts = {r["part"]: r["count"] for r in placed.groupBy("part").count().collect()}
     size = np.array([counts.get(p, 0) for p in range(parts)])
+    bins = min(BINS, parts)
+    bin_of = np.arange(parts) * bins // parts
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -198,24 +224,29 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
             enough = (np.cumsum(size[order], axis=1) >= 4 * k).argmax(1) + 1
             enough = np.where(size.sum() >= 4 * k, enough, parts)
             take = np.maximum(probes, enough)
-            row = np.repeat(np.arange(b.num_rows), take)
-            part = np.concatenate([order[i, :t] for i, t in enumerate(take.tolist())])
+            chosen = np.zeros((b.num_rows, parts), bool)
+            for i, t in enumerate(take.tolist()):
+                chosen[i, order[i, :t]] = True
+            row, where = np.nonzero(np.stack([chosen[:, bin_of == g].any(1) for g in range(bins)], 1))
+            listed = [np.flatnonzero(chosen[i] & (bin_of == g)).tolist() for i, g in zip(row.tolist(), where.tolist())]
             some = b.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(part, pa.int32())], names=["query_id", "embedding", "part"])
+            yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(where, pa.int32()), pa.array(listed, pa.list_(pa.int32()))],
+                                             names=["query_id", "embedding", "bin", "parts"])
 
     asked = placed.filter("q").select("vec_id", "embedding").dropDuplicates(["vec_id"])
-    routed = store(spark, map_arrow(asked, route, f"query_id long, embedding {kind}, part int"), "ann-queries")
-    q_counts = {r["part"]: r["count"] for r in routed.groupBy("part").count().collect()}
-    blocks = lambda of, each: F.element_at(F.array(*[F.lit(max(1, -(-of.get(p, 0) // each))) for p in range(parts)]), F.col("part") + 1)
+    routed = store(spark, map_arrow(asked, route, f"query_id long, embedding {kind}, bin int, parts array<int>"), "ann-queries")
+    q_counts = {r["bin"]: r["count"] for r in routed.groupBy("bin").count().collect()}
+    m_counts = {g: int(size[bin_of == g].sum()) for g in range(bins)}
+    blocks = lambda of, each: F.element_at(F.array(*[F.lit(max(1, -(-of.get(g, 0) // each))) for g in range(bins)]), F.col("bin") + 1)
     spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     own = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
-    m_blocks, q_blocks = blocks(counts, ROWS), blocks(q_counts, QUERIES)
-    members = placed.select("part", own("vec_id", m_blocks).alias("mb"), spread(q_blocks).alias("qb"), "vec_id", "embedding")
-    queries = routed.select("part", spread(m_blocks).alias("mb"), own("query_id", q_blocks).alias("qb"), "query_id", "embedding")
-    keys = ["part", "mb", "qb"]
+    m_blocks, q_blocks = blocks(m_counts, ROWS), blocks(q_counts, QUERIES)
+    members = placed.withColumn("bin", F.expr(f"cast(part * {bins} div {parts} as int)")).select("bin", own("vec_id", m_blocks).alias("mb"), spread(q_blocks).alias("qb"), "vec_id", "embedding", "part")
+    queries = routed.select("bin", spread(m_blocks).alias("mb"), own("query_id", q_blocks).alias("qb"), "query_id", "embedding", "parts")
+    keys = ["bin", "mb", "qb"]
 
     def rerank(left: pa.Table, right: pa.Table) -> pa.Table:
-        return best(left, right, k)
+        return best_of_parts(left, right, k)
 
     found = queries.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(rerank, "query_id long, vec_id long, score double")
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

@@ -19,11 +19,11 @@ LOAD_ORDER = [
     "quotation_headers", "quotation_items", "quotation_bidders", "quotation_bids", "quotation_bidder_totals",
     "quotation_item_prices",
     "tenders", "tender_sessions", "tender_lots", "tender_bidders", "tender_bidder_sessions", "tender_items",
-    "tender_item_status", "tender_bids", "tender_rejected_bids", "tender_budget_lines", "price_registry_docs",
+    "tender_item_status", "tender_bids", "tender_bid_sessions", "tender_bid_finals", "tender_rejected_bids", "tender_budget_lines", "price_registry_docs",
     "price_registry", "price_registry_history", "tender_expiry", "rejected_bids",
-    "purchase_orders", "purchase_order_lines", "order_commitment_link", "order_registry_flag",
+    "purchase_orders", "purchase_order_lines", "rejected_order_lines", "order_commitment_link", "order_registry_flag",
     "delivery_authorizations", "delivery_authorization_items", "rejected_sub_orders",
-    "stock_opening_balance", "stock_requisitions", "stock_movements",
+    "stock_lots", "stock_opening_header", "stock_opening_balance", "stock_opening_rejects", "stock_requisitions", "stock_movements",
     "drivers", "vehicles", "vehicle_cost_centers", "fuel_requisitions", "fuel_items", "fuel_rejected",
     "asset_classes", "asset_conditions", "asset_sectors", "disposal_types", "asset_register", "asset_register_final", "asset_ledger",
 ]

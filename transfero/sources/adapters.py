@@ -116,6 +116,9 @@ ADAPTERS: dict[str, str] = {
     "cadlic_sessao_existing": (
         "select o_orderkey numlic from orders where o_orderkey % 17 = 0"
     ),
+    "regprecodoc_existing": (
+        "select o_orderkey numlic from orders where o_orderkey % 19 = 0"
+    ),
     "itemobjeto": (
         "select l_orderkey id_processolicitatorio, l_orderkey nrprocesso, cast(year(o_orderdate) as int) dtanoprocesso, "
         "4 cdtipoprocesso, l_linenumber % 3 lote, l_linenumber nritem, min(l_partkey) cdmaterial, concat('LOTE ', "

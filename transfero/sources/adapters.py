@@ -27,7 +27,8 @@ ADAPTERS: dict[str, str] = {
         "from part where cast(substring(p_brand,7) as int) % 5 <> 0"
     ),
     "produto": (
-        "select p_partkey cdmaterial, p_size % 3 + 1 tpmaterial, cast(substring(p_brand,7) as int) cdclassereduzido, "
+        "select p_partkey cdmaterial, p_size % 3 + 1 tpmaterial, cast(substring(p_brand,7) as int) + case when p_partkey % 97 = 5 "
+        "and p_size % 3 < 2 then 100 else 0 end cdclassereduzido, "
         "upper(p_name) dsmaterial, p_size % 30 cdunidademedida, p_type descricao_unica from part"
     ),
     "produto_wide": (

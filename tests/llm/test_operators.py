@@ -51,6 +51,26 @@ def test_hot_anchor_is_cut_into_windows(spark, monkeypatch):
     assert got == {**{i: 0 for i in range(20)}, 90: 48, 91: 48}
 
 
+def test_common_passage_does_not_fill_one_group(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from transfero.llm import op01_substring_dedup as op
+    monkeypatch.setattr(op, "HOT", 10)
+    dealt, matched = [], op.matched
+
+    def watched(items):
+        dealt.append(items.groupBy("key" if "key" in items.columns else "anchor").count().agg(F.max("count")).first()[0] or 0)
+        return matched(items)
+
+    monkeypatch.setattr(op, "matched", watched)
+    passage = prose(40, 60)
+    docs = [(i, f"{prose(1000 + i, 40)} own{i} {passage} its{i} {prose(2000 + i, 40)}") for i in range(60)]
+    docs += [(100, f"{prose(41, 20)} lone {' '.join(passage.split()[:36])} end"), (101, f"{prose(42, 20)} short {' '.join(passage.split()[:34])} end"), (102, docs[0][1])]
+    got = {r.doc_id: r.n_removed for r in op.substring_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    whole = len(words(docs[0][1]))
+    assert got == {**{i: 60 for i in range(1, 60)}, 100: 36, 101: 0, 0: whole, 102: whole}
+    assert dealt[0] <= 10
+
+
 def test_fm_index_matches_counting():
     from transfero.llm.fm_index import FMIndex
     r = np.random.default_rng(1)

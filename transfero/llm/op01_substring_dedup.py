@@ -13,8 +13,10 @@ is lost.
 3. For other anchors, one copy of each distinct segment goes to its shard: an FM-index over the shard's
    segments, whose backward search gives the matching statistics of every segment that occurs once.
    Windows matched at full length with total weight 2 or more repeat. Shards hold whole anchors and about
-   ``SHARD`` words. The segments of an anchor with more than ``HOT`` occurrences are cut into windows
-   dealt by the window's own hash, so one common passage never fills a shard.
+   ``SHARD`` words. The segments of an anchor with more than ``HOT`` occurrences never go to a shard: their
+   windows are counted by a 128-bit hash (partial sums before the shuffle), and those with weight 2 or more
+   are joined back to their segments, the most common ones by broadcast, so no task holds all texts that
+   share a passage.
 4. Repeated windows go back to their texts, which are cut and hashed.
 
 Words are compared by 64-bit hashes, texts by 64-bit hashes of the whole text.
@@ -32,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,8 +45,11 @@ from .words import grams, split_words
 
 WINDOW, GRAM = 35, 6
 SHARD, HOT = 400_000, 4_000
+#: Window hashes that occur more often than HOT and the ``1 / COMMON`` part of all are joined by broadcast, so COMMON is the most there can be.
+COMMON = 50_000
 _B = np.uint64(0xD1342543DE82EF95)
 _B_INVERSE = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
+_WINDOW_BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 
 
 def anchors(h: np.ndarray, row: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, ...]:
@@ -93,7 +99,7 @@ def segments(texts: DataFrame) -> DataFrame:
 
 
 def cut_segments(found: DataFrame) -> DataFrame:
-    """Words of the wanted segments: rows (text, list of (first, windows, anchor, segment, weight, hot)) to shard items."""
+    """Words of the wanted segments: rows (text, list of (first, windows, anchor, segment, weight)) to shard items."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             out: list[tuple] = []
@@ -101,27 +107,61 @@ def cut_segments(found: DataFrame) -> DataFrame:
                 words = text.encode().split()
                 for s in wanted:
                     at, n = s["first"], s["windows"]
-                    if s["hot"]:
-                        for i in range(n):
-                            body = b" ".join(words[at + i:at + i + WINDOW])
-                            key = int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "little", signed=True)
-                            out.append((key, s["anchor"], s["segment"], i, s["weight"], WINDOW, body))
-                    else:
-                        out.append((s["anchor"], s["anchor"], s["segment"], 0, s["weight"], n + WINDOW - 1, b" ".join(words[at:at + n + WINDOW - 1])))
+                    out.append((s["anchor"], s["segment"], s["weight"], n + WINDOW - 1, b" ".join(words[at:at + n + WINDOW - 1])))
             if out:
                 c = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int64()), pa.array(c[3], pa.int32()),
-                     pa.array(c[4], pa.int64()), pa.array(c[5], pa.int64()), pa.array([x.decode() for x in c[6]], pa.string())],
-                    names=["key", "anchor", "segment", "bit", "weight", "words", "body"])
+                    [*[pa.array(x, pa.int64()) for x in c[:4]], pa.array([x.decode() for x in c[4]], pa.string())],
+                    names=["anchor", "segment", "weight", "words", "body"])
 
-    return map_arrow(found.select("text", "wanted"), run, "key long, anchor long, segment long, bit int, weight long, words long, body string")
+    return map_arrow(found.select("text", "wanted"), run, "anchor long, segment long, weight long, words long, body string")
+
+
+def window_hashes(h: np.ndarray, place: np.ndarray, base: int) -> np.ndarray:
+    """Hash of the ``WINDOW`` words from each ``place`` on: difference of prefix sums, shifted back to place 0."""
+    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * np.cumprod(np.full(len(h), np.uint64(base))))])
+    back = np.cumprod(np.full(len(h), np.uint64(pow(base, -1, 1 << 64))))
+    return ((prefix[place + WINDOW] - prefix[place]) * back[place]).view(np.int64)
+
+
+def cut_windows(found: DataFrame) -> DataFrame:
+    """``anchor, segment, bit, weight, h0, h1`` of every window of the wanted segments: rows as for ``cut_segments``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text", 1_000_000):
+            h, row, _, _ = split_words(batch.column(0))
+            wanted = batch.column(1)
+            owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(wanted).to_numpy(zero_copy_only=False))
+            s = {c: pc.struct_field(wanted.flatten(), c).to_numpy(zero_copy_only=False) for c in ("first", "windows", "anchor", "segment", "weight")}
+            which = np.repeat(np.arange(len(owner)), s["windows"])
+            bit = np.arange(len(which)) - np.repeat(np.cumsum(s["windows"]) - s["windows"], s["windows"])
+            place = (np.searchsorted(row, owner) + s["first"])[which] + bit
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(s["anchor"][which], pa.int64()), pa.array(s["segment"][which], pa.int64()), pa.array(bit, pa.int32()),
+                 pa.array(s["weight"][which], pa.int64()), *[pa.array(window_hashes(h, place, b), pa.int64()) for b in _WINDOW_BASES]],
+                names=["anchor", "segment", "bit", "weight", "h0", "h1"])
+
+    return map_arrow(found.select("text", "wanted"), run, "anchor long, segment long, bit int, weight long, h0 long, h1 long")
+
+
+def counted(windows: DataFrame) -> DataFrame:
+    """``anchor, segment, mask``: windows whose hash has total weight 2 or more.
+
+    A hash of more than ``most`` rows is never dealt: there are at most ``COMMON`` of them, which are broadcast.
+    """
+    spark = windows.sparkSession
+    windows = store(spark, windows, "hot-windows")
+    most = max(HOT, windows.count() // COMMON)
+    repeated = store(spark, windows.groupBy("h0", "h1").agg(F.sum("weight").alias("total"), F.count(F.lit(1)).alias("rows")).filter("total > 1"), "hot-repeats")
+    common = F.broadcast(repeated.filter(F.col("rows") > most).select("h0", "h1"))
+    others = windows.join(common, ["h0", "h1"], "left_anti").join(repeated.filter(F.col("rows") <= most).select("h0", "h1"), ["h0", "h1"], "left_semi")
+    found = windows.join(common, ["h0", "h1"], "left_semi").unionByName(others)
+    return found.groupBy("anchor", "segment").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
 
 
 def matched(items: DataFrame) -> DataFrame:
     """``anchor, segment, mask``: repeated windows of the items, by an FM-index per shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, "key", "words", SHARD):
+        for t in whole_groups(batches, "anchor", "words", SHARD):
             h, row, _, _ = split_words(t.column("body").combine_chunks())
             _, words = np.unique(h, return_inverse=True)
             starts = np.searchsorted(row, np.arange(len(t)))
@@ -129,16 +169,15 @@ def matched(items: DataFrame) -> DataFrame:
             weight = t.column("weight").to_numpy()
             index = FMIndex(words, starts, weight)
             once = np.flatnonzero(weight == 1)  # heavier ones repeat as a whole and need no search
-            mask = index.repeated(words, starts[once], lengths[once], WINDOW) << t.column("bit").to_numpy()[once]
+            mask = index.repeated(words, starts[once], lengths[once], WINDOW)
             hit = mask != 0
             rows = pa.array(once[hit])
             yield pa.RecordBatch.from_arrays(
                 [t.column(c).take(rows).combine_chunks() for c in ("anchor", "segment")] + [pa.array(mask[hit], pa.int64())],
                 names=["anchor", "segment", "mask"])
 
-    dealt = items.repartition("key").sortWithinPartitions("key")
-    found = map_arrow(dealt, run, "anchor long, segment long, mask long")
-    return found.groupBy("anchor", "segment").agg(F.bit_or("mask").alias("mask"))
+    dealt = items.repartition("anchor").sortWithinPartitions("anchor")
+    return map_arrow(dealt, run, "anchor long, segment long, mask long")
 
 
 def cut_texts(rows: DataFrame) -> DataFrame:
@@ -187,12 +226,14 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     shared = store(spark, every.join(anchor, F.col("anchor") == F.col("a")).drop("a"), "segments")
     distinct = store(spark, shared.groupBy("anchor", "segment", "n", "windows").agg(F.sum("weight").alias("weight"), F.min(F.struct("v", "first")).alias("one")), "distinct-segments")
     asked = distinct.filter(F.col("weight") < F.col("n")).select(F.col("one.v").alias("v"), F.struct(
-        F.col("one.first").alias("first"), "windows", "anchor", "segment", "weight", (F.col("n") > HOT).alias("hot")).alias("s"))
-    wanted = texts.select("v", "text").join(asked.groupBy("v").agg(F.collect_list("s").alias("wanted")), "v")
-    searched = matched(cut_segments(wanted))
+        F.col("one.first").alias("first"), "windows", "anchor", "segment", "weight").alias("s"), (F.col("n") > HOT).alias("hot"))
+    wanted = lambda some: texts.select("v", "text").join(asked.filter(some).groupBy("v").agg(F.collect_list("s").alias("wanted")), "v")
+    searched = matched(cut_segments(wanted("not hot")))
+    if asked.filter("hot").limit(1).count():
+        searched = searched.unionByName(counted(cut_windows(wanted("hot"))))
     all_windows = F.expr("shiftleft(1L, windows) - 1")
     masks = (distinct.filter("weight > 1").select("anchor", "segment", all_windows.alias("mask"))
-             .unionByName(searched.select("anchor", "segment", "mask")).groupBy("anchor", "segment").agg(F.bit_or("mask").alias("mask")))
+             .unionByName(searched).groupBy("anchor", "segment").agg(F.bit_or("mask").alias("mask")))
     masks = store(spark, masks, "masks")
     hit = shared.select("v", "first", "anchor", "segment").join(masks, ["anchor", "segment"])
     repeats = hit.groupBy("v").agg(F.collect_list(F.struct("first", "mask")).alias("repeats"))

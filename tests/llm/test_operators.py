@@ -185,6 +185,25 @@ def test_quality(spark, edge_docs, no_docs):
     assert all(kept[i] for i in range(60)) and not any(kept[i] for i in (100, 101, 102))
 
 
+def test_quality_without_a_language(spark, monkeypatch):
+    from transfero.llm import op04_quality as op
+    r = random.Random(5)
+    vocabulary = {x: ["".join(r.choice(letters) for _ in range(r.randrange(2, 5))) for _ in range(30)]
+                  for x, letters in {"aa": "abcde", "bb": "fghij", "cc": "klmno", "dd": "pqrst", "ee": "uvwxyz"}.items()}
+    text = lambda x: " ".join(r.choice(vocabulary[x]) for _ in range(200))
+    docs = [(i, text(x), x) for i, x in enumerate(sorted(vocabulary) * 20)]
+    docs += [(1000 + i, text(x), None) for i, x in enumerate(sorted(vocabulary))]
+    docs += [(2000, text("aa").upper(), None), (2001, " ".join(f"%{w}|#" for w in text("bb").split()), None), (2002, None, "ff"), (2003, "", "zz")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    rows = {r.doc_id: r for r in op.quality(frame).collect()}
+    assert len(rows) == len(docs) and all(rows[i].kept for i in [*range(100), *range(1000, 1005)])
+    assert not any(rows[i].kept for i in (2000, 2001, 2002, 2003))
+    monkeypatch.setattr(op, "MAX_LANGS", 2)
+    assert {r.doc_id: r for r in op.quality(frame).collect()} == rows
+    none = op.quality(frame.filter("doc_id < 5").selectExpr("doc_id", "text", "cast(null as string) lang")).collect()
+    assert len(none) == 5 and all(r.kept != r.base_failed and r.word_distance is None for r in none)
+
+
 def library():
     import public_tokenizers as P
     from tokenizers import Tokenizer

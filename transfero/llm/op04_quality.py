@@ -7,9 +7,11 @@ their shares (all other words are one more bin). The words' divergence is lessen
 the document's length shows by chance. Documents below ``min_words`` words are too short to
 judge and keep the base verdict.
 
-Languages are the values of ``lang`` with the most documents, ``max_langs`` at most, which bounds the
-broadcast table of references (``top`` words and shares each); other values, null included, are judged
-by the reference of all documents.
+Every value of ``lang`` has a reference of its own. Up to ``MAX_LANGS`` references are broadcast; beyond
+that, the largest are, and only texts of the rarer languages are joined by shuffle. A document without a
+language is judged by the nearest reference: the one whose distances, each as a part of its threshold,
+have the smallest maximum. If no document has a language, there is no reference, and the base verdict
+stands.
 
 Defined results: null text has no words, so its base verdict is failed; empty likewise; repeated rows
 give repeated rows; other columns are ignored; an empty table gives no rows. Windows of eight words are
@@ -119,48 +121,52 @@ def class_counts(text: Column) -> Column:
     return let(text, lambda t: step(t, []))
 
 
-def languages(docs: DataFrame, max_langs: int = MAX_LANGS) -> Column:
-    """The language if it is among the ``max_langs`` most frequent, else null."""
-    langs = [r[0] for r in docs.filter("lang is not null").groupBy("lang").count()
-             .orderBy(F.desc("count"), "lang").limit(max_langs).collect()]
-    return F.when(F.col("lang").isin(langs), F.col("lang")) if langs else F.lit(None).cast("string")
-
-
-NO_KEY = "cast(null as string) key"
-
-
 def word_references(rows: DataFrame, top: int = TOP) -> DataFrame:
-    """One row per language and one for all (``key`` null): ``key, ref_words, shares, other`` of rows (key, text)."""
+    """One row per language: ``key, total, ref_words, shares, other`` of rows (key, text)."""
     spark = rows.sparkSession
     words = split_words(F.col("text"))
     item = lambda w, n: F.struct(w.alias("word"), n.cast("long").alias("n"))
     short = let(words, lambda ws: F.concat(
         F.transform(F.filter(ws, lambda w: (F.length(w) <= SHORT) & F.rlike(w, F.lit(r"^\p{L}+$"))), lambda w: item(F.lower(w), F.lit(1))),
         F.array(item(F.lit(None).cast("string"), F.size(ws)))))  # a null word counts all words
-    counted = store(spark, rows.select("key", F.explode(short).alias("x")).groupBy("key", F.col("x.word").alias("word"))
+    counted = store(spark, rows.filter("key is not null").select("key", F.explode(short).alias("x")).groupBy("key", F.col("x.word").alias("word"))
                     .agg(F.sum("x.n").alias("n")), "quality-words")
-    counted = counted.filter("key is not null").unionByName(counted.groupBy("word").agg(F.sum("n").alias("n")).selectExpr(NO_KEY, "word", "n"))
     total = counted.filter("word is null").select("key", F.greatest("n", F.lit(1)).alias("total"))
     best = Window.partitionBy("key").orderBy(F.desc("n"), "word")
     ranked = (counted.filter("word is not null").withColumn("r", F.row_number().over(best)).filter(F.col("r") <= top).groupBy(F.col("key").alias("k"))
               .agg(F.sort_array(F.collect_list(F.struct("r", "word", "n"))).alias("list")))
     share = F.transform("list", lambda x: x["n"] / F.col("total"))
-    return store(spark, total.join(ranked, total["key"].eqNullSafe(ranked["k"]), "left")
+    return store(spark, total.join(ranked, total["key"] == ranked["k"], "left")
                  .withColumn("list", F.coalesce("list", F.array().cast("array<struct<r:int,word:string,n:bigint>>")))
-                 .select("key", F.transform("list", lambda x: x["word"]).alias("ref_words"), share.alias("shares"),
+                 .select("key", "total", F.transform("list", lambda x: x["word"]).alias("ref_words"), share.alias("shares"),
                          F.aggregate(share, F.lit(1.0), lambda a, x: a - x).alias("other")), "quality-word-references")
 
 
 def class_references(rows: DataFrame) -> DataFrame:
-    """One row per language and one for all (``key`` null): ``key, classes`` of rows (key, c: counts, length)."""
+    """One row per language: ``key, classes`` of rows (key, c: counts, length)."""
     spark = rows.sparkSession
     names = [*[f"c{i}" for i in range(len(CLASSES))], "length"]
-    sums = store(spark, rows.groupBy("key").agg(*[F.sum(F.col("c")[i]).alias(n) for i, n in enumerate(names[:-1])], F.sum("length").alias("length")), "quality-classes")
-    sums = sums.filter("key is not null").unionByName(sums.agg(*[F.sum(n).alias(n) for n in names]).selectExpr(NO_KEY, *names))
+    sums = (rows.filter("key is not null").groupBy("key")
+            .agg(*[F.sum(F.col("c")[i]).alias(n) for i, n in enumerate(names[:-1])], F.sum("length").alias("length")))
     classes = [F.col(n) / F.greatest("length", F.lit(1)) for n in names[:-1]]
     return store(spark, sums.select("key", F.array(*classes, 1 - sum(classes[1:], classes[0])).alias("classes")), "quality-class-references")
 
 
+def with_references(rows: DataFrame, refs: DataFrame, size: str) -> DataFrame:
+    """``rows`` (key, ...) with ``refs``: the reference of the row's language, or all (in order of ``key``) if it has none."""
+    item = F.struct(*refs.columns)
+    common = refs if refs.count() <= MAX_LANGS else store(rows.sparkSession, refs.orderBy(F.desc(size), "key").limit(MAX_LANGS), "quality-common")
+    own = common.select(F.col("key").alias("k"), F.array(item).alias("refs"))
+    every = refs.agg(F.array_sort(F.collect_list(item)).alias("refs")).select(F.lit(None).cast("string").alias("k"), "refs")
+    near = F.broadcast(own.unionByName(every))
+    if common is refs:
+        return rows.join(near, rows["key"].eqNullSafe(near["k"]), "left").drop("k")
+    rare = refs.join(F.broadcast(common.select("key")), "key", "left_anti").select(F.col("key").alias("k"), F.array(item).alias("refs"))
+    known = F.broadcast(near.select("k"))
+    others = rows.join(known, rows["key"].eqNullSafe(known["k"]), "left_anti")
+    return rows.join(near, rows["key"].eqNullSafe(near["k"])).unionByName(others.join(rare, others["key"] == rare["k"])).drop("k")
+
+
 def quality(docs: DataFrame, min_words: int = MIN_WORDS, max_char: float = MAX_CHAR, max_word: float = MAX_WORD) -> DataFrame:
     """Base counts, ``char_distance, word_distance`` and ``base_failed, kept`` for every row.
 
@@ -169,23 +175,28 @@ def quality(docs: DataFrame, min_words: int = MIN_WORDS, max_char: float = MAX_C
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "lang", "text")
-    key = languages(docs)
+    key = F.col("lang").cast("string")
     refs = word_references(docs.select(key.alias("key"), "text"))
-    rows = base_rules(docs)
-    joined = rows.join(F.broadcast(refs), key.eqNullSafe(refs["key"]), "left")
+    joined = with_references(base_rules(docs).withColumn("key", key), refs, "total")
     judged = F.col("n_words") >= min_words
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    distances = F.transform("refs", lambda r: common_word_distance(F.col("words"), r["ref_words"], r["shares"], r["other"]))
     scored = store(spark, joined.select(
-        "doc_id", key.alias("k"), *counts, class_counts(F.col("text")).alias("c"), F.length("text").alias("length"),
-        F.when(judged, common_word_distance(F.col("words"), F.col("ref_words"), F.col("shares"), F.col("other"))).alias("word_distance")), "quality-rows")
-    classes = class_references(scored.withColumnRenamed("k", "key"))
+        "doc_id", "key", *counts, class_counts(F.col("text")).alias("c"), F.length("text").alias("length"),
+        F.when(judged, distances).alias("word_distances")), "quality-rows")
+    classes = class_references(scored).join(refs.select("key", "total"), "key")
     length = F.greatest("length", F.lit(1))
     mine = F.concat(F.transform("c", lambda x: x / length), F.array(1 - F.aggregate("c", F.lit(0), lambda a, x: a + x) / length))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    out = scored.join(F.broadcast(classes), scored["k"].eqNullSafe(classes["key"]), "left").select(
-        "doc_id", *counts, failed.alias("base_failed"),
-        F.when(judged, let(mine, lambda p: js_distance(p, F.col("classes")))).alias("char_distance"), "word_distance")
     noise = NOISE_BINS / (8 * math.log(2) * F.col("n_words"))
+
+    def verdict(word: Column, char: Column) -> Column:
+        excess = F.sqrt(F.greatest(F.lit(0.0), word * word - noise))
+        return F.struct(F.greatest(char / max_char, excess / max_word).alias("worst"), char.alias("char"), word.alias("word"))
+
+    nearest = let(mine, lambda p: F.array_min(F.zip_with("word_distances", "refs", lambda w, r: let(js_distance(p, r["classes"]), lambda c: verdict(w, c)))))
+    out = (with_references(scored, classes, "total").withColumn("near", F.when(judged, nearest))
+           .select("doc_id", *counts, failed.alias("base_failed"), F.col("near.char").alias("char_distance"), F.col("near.word").alias("word_distance")))
     alike = F.col("word_distance") * F.col("word_distance") - noise <= max_word * max_word
     good = F.coalesce((F.col("char_distance") <= max_char) & alike, F.lit(True))
     return out.withColumn("kept", ~F.col("base_failed") & good)

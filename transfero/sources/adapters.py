@@ -164,7 +164,7 @@ ADAPTERS: dict[str, str] = {
         "select o_orderkey nrinstrumentocontratual, cast(year(o_orderdate) as int) dtanoinstrumentocontratual, 1 "
         "tpinstrumentocontratual, o_orderkey nrprocesso, cast(year(o_orderdate) as int) dtanoprocesso, case when "
         "o_orderkey % 16 = 0 then o_orderkey + 900000000 else o_orderkey end nr_empenho, cast(year(o_orderdate) as int) "
-        "dt_ano_empenho, o_orderdate dtinstrumentocontratual from orders where o_orderkey % 4 = 0"
+        "dt_ano_empenho, o_orderdate dtinstrumentocontratual from orders"
     ),
     "almox_movimento": (
         "select row_number() over (order by l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, "
@@ -220,19 +220,19 @@ ADAPTERS: dict[str, str] = {
     ),
     "movimentodepreciacao": (
         "select l_partkey cditem, l_shipdate dtmovimento, cast(floor(l_extendedprice) / 100 as decimal(18,5)) "
-        "vldepreciacao, 0 inestorno, cast(null as timestamp) dtestorno from lineitem where l_linenumber = 2 union all "
+        "vldepreciacao, 0 inestorno, cast(null as timestamp) dtestorno from lineitem union all "
         "select l_partkey, l_shipdate, cast(floor(l_extendedprice) / 100 as decimal(18,5)), -1, l_shipdate from "
-        "lineitem where l_linenumber = 2 and l_orderkey % 11 = 0"
+        "lineitem where l_orderkey % 11 = 0 or l_partkey % 10 = 7"
     ),
     "movimentovlcomplementar": (
         "select l_partkey + case when l_orderkey % 13 = 0 or l_partkey % 10 = 3 then 10000000 else 0 end cditem, l_shipdate dtmovimento, "
-        "cast(l_tax * 100 as decimal(18,5)) vlcomplementar, 0 inestorno from lineitem where l_linenumber = 3"
+        "cast(l_tax * 100 as decimal(18,5)) vlcomplementar, 0 inestorno from lineitem"
     ),
     "iteminstrumentocontratual": (
         "select l_orderkey nrinstrumentocontratual, cast(year(o_orderdate) as int) dtanoinstrumentocontratual, 1 "
         "tpinstrumentocontratual, l_linenumber % 3 lote, l_linenumber nritem, min(l_partkey) cdmaterial, "
         "cast(sum(l_quantity) as decimal(18,5)) qtitem, cast(floor(min(l_extendedprice / l_quantity) * 100) / 100 as "
-        "decimal(18,5)) valor_unitario from lineitem join orders on o_orderkey = l_orderkey where l_orderkey % 4 = 0 "
+        "decimal(18,5)) valor_unitario from lineitem join orders on o_orderkey = l_orderkey "
         "group by l_orderkey, cast(year(o_orderdate) as int), l_linenumber"
     ),
     "condicaopagamento": (

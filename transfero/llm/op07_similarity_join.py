@@ -1,8 +1,8 @@
-"""N-gram Jaccard join: MinHash LSH forest, then exact verification.
+"""N-gram Jaccard join: banded MinHash LSH, then exact verification.
 
-A text is the set of its five-word shingles. The forest has ``TREES`` prefix tries of MinHash labels.
-Matching prefixes start at ``DEEPEST`` hashes and are shortened until two texts at the threshold share a
-prefix in some tree with probability ``RECALL``; the tries are sorted tables of (tree, prefix) rows.
+A text is the set of its five-word shingles. There are ``TREES`` bands of MinHash
+values, all of one depth: the longest, ``DEEPEST`` at most, at which two texts at the threshold are equal
+in some band with probability ``RECALL``. A band's values are one label, and labels are grouped by equality.
 
 1. Rows of equal text become one vertex (a 64-bit hash of the text) by partial aggregation.
 2. Texts under one prefix are compared by 64 small MinHash values: pairs that agree on less than

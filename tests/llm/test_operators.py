@@ -298,6 +298,17 @@ def test_similarity_join(spark, edge_docs, no_docs):
     assert similarity_join(no_docs).collect() == [] and one_of_each(no_docs).collect() == []
 
 
+def test_one_of_each_class_stays(spark):
+    from transfero.llm.op07_similarity_join import one_of_each
+    near = lambda base, k: " ".join(base.split()[:149] + [f"x{k}"])
+    a, b, c = prose(500, 150), prose(501, 150), prose(502, 150)
+    rows = [(None, near(a, 1), "a"), (None, near(a, 2), "a"), (None, near(a, 2), "a"), (7, near(b, 1), "b"), (7, near(b, 2), "b"), (None, near(b, 3), "b"),
+            (7, near(c, 1), "c"), (9, near(c, 2), "c"), (7, near(c, 1), "c"), (None, None, "none"), (None, "", "none"), (None, prose(503, 90), "d")]
+    kept = one_of_each(spark.createDataFrame(rows, "doc_id long, text string, class string")).collect()
+    assert Counter(r["class"] for r in kept) == {"a": 1, "b": 1, "c": 1, "d": 1, "none": 2}
+    assert {r["class"]: r.doc_id for r in kept if r["class"] in "bc"} == {"b": 7, "c": 7}
+
+
 def test_large_groups_are_verified_in_blocks(spark, monkeypatch):
     from transfero.llm import op07_similarity_join as op
     monkeypatch.setattr(op, "HOT", 10)

@@ -164,7 +164,12 @@ def verify(blocks: DataFrame, threshold: float) -> DataFrame:
 
 
 def similarity_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, class_id, n_links, n_text_links, n_copies`` of every row of ``docs`` (doc_id, text)."""
+    """``doc_id, class_id, n_links, n_text_links, n_copies, text_hash`` of every row of ``docs`` (doc_id, text)."""
+    return classes(docs, threshold).drop("component")
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """As ``similarity_join``, and ``component``: one value for each class, also where ids are null or used again."""
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("v"))
@@ -197,31 +202,34 @@ def similarity_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             .select("v", "copies", "least", F.coalesce("texts", F.lit(0)).alias("texts"), F.coalesce("docs", F.lit(0)).alias("docs"), F.coalesce("c", "v").alias("c")))
     info = store(spark, info, "link-counts")
     least = info.groupBy("c").agg(F.min("least").alias("class_id"))
-    info = store(spark, info.join(least, "c").select(F.col("v").alias("u"), "copies", "texts", "docs", "class_id"), "classes")
+    info = store(spark, info.join(least, "c").select(F.col("v").alias("u"), F.col("c").alias("component"), "copies", "texts", "docs", "class_id"), "classes")
     ids = rows.select("doc_id", F.when(has_word, F.col("v")).alias("v"))
     out = ids.join(info, F.col("v") == F.col("u"), "left")
     return out.select("doc_id", F.when(F.col("u").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                       F.coalesce(F.col("docs") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
                       F.coalesce("texts", F.lit(0)).cast("long").alias("n_text_links"),
-                      F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"), F.col("v").alias("text_hash"))
+                      F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"), F.col("v").alias("text_hash"), "component")
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs``, columns unchanged, without those linked to a document of smaller id.
+    """Rows of ``docs``, columns unchanged: one of each class, the first by (id, nulls last; hash of the text).
 
-    Of rows that repeat id and text one stays; rows without an id stay.
+    Of rows that repeat id and text one stays; rows without words are in no class and stay.
     """
     spark = docs.sparkSession
-    found = store(spark, similarity_join(docs, threshold).select("doc_id", "class_id", "text_hash"), "near-duplicates")
-    gone = found.filter("doc_id <> class_id").select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_hash")).distinct()
+    found = store(spark, classes(docs, threshold).filter("text_hash is not null").select("doc_id", "component", "text_hash"), "near-duplicates")
+    first = (found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("one"))
+             .select(F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash")))
+    first = store(spark, first, "survivors")
     keyed = docs.withColumn("_v", F.xxhash64(F.coalesce("text", F.lit(""))))
-    kept = keyed.join(gone, (F.col("doc_id") == F.col("_gone")) & (F.col("_v") == F.col("_hash")), "left_anti")
-    again = found.filter("doc_id is not null and text_hash is not null").groupBy(F.col("doc_id").alias("_again"), F.col("text_hash").alias("_hash")).count().filter("count > 1").drop("count")
+    has_word = F.coalesce(F.rlike("text", F.lit(WORD)), F.lit(False))
+    mine = lambda t: keyed["doc_id"].eqNullSafe(t["_id"]) & (keyed["_v"] == t["_hash"])
+    again = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).count().filter("count > 1").drop("count")
     again = store(spark, again, "repeated-rows")
+    kept = keyed.filter(has_word).join(first, mine(first), "left_semi")
     if again.limit(1).count():
-        repeated = (F.col("doc_id") == F.col("_again")) & (F.col("_v") == F.col("_hash"))
-        kept = kept.join(again, repeated, "left_anti").unionByName(kept.join(again, repeated, "left_semi").dropDuplicates(["doc_id", "_v"]))
-    return kept.drop("_v")
+        kept = kept.join(again, mine(again), "left_anti").unionByName(kept.join(again, mine(again), "left_semi").dropDuplicates(["doc_id", "_v"]))
+    return kept.unionByName(keyed.filter(~has_word)).drop("_v")
 
 
 def op7_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:

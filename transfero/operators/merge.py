@@ -45,12 +45,28 @@ def update_where(df: DataFrame, assign: Mapping[str, Column], where: Column) ->
     return out.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in df.columns])
 
 
+def rows_absent(target: DataFrame, new: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of ``new`` whose key no target row has. As in SQL a NULL equals nothing, so a row with a NULL in its key
+    is always absent. Only key columns of the target are moved, each key once."""
+    keys = target.select(*on).dropna().distinct()
+    return new.join(keys, list(on), "left_anti").select(*new.columns)
+
+
 def insert_absent(target: DataFrame, new: DataFrame, on: Sequence[str]) -> DataFrame:
     """``INSERT ... SELECT ... WHERE NOT EXISTS (same key in target)``: anti-join, then append."""
-    return target.unionByName(new.join(target.select(*on), list(on), "left_anti"), allowMissingColumns=True)
+    return target.unionByName(rows_absent(target, new, on), allowMissingColumns=True)
 
 
 def replace_where(target: DataFrame, new: DataFrame, predicate: Column) -> DataFrame:
     """``DELETE FROM t WHERE p`` followed by an append of ``new`` (NULL predicate keeps the row)."""
-    kept = target.filter(~F.coalesce(predicate, F.lit(False)))
-    return kept.unionByName(new, allowMissingColumns=True)
+    return delete_where(target, predicate).unionByName(new, allowMissingColumns=True)
+
+
+def delete_where(target: DataFrame, predicate: Column) -> DataFrame:
+    """``DELETE FROM t WHERE p``; a row for which ``p`` is NULL stays."""
+    return target.filter(~F.coalesce(predicate, F.lit(False)))
+
+
+def delete_in(target: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """``DELETE FROM t WHERE key IN (SELECT key FROM keys)``; a row without a key stays."""
+    return target.join(keys.select(on).distinct(), on, "left_anti").select(*target.columns)

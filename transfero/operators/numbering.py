@@ -19,7 +19,6 @@ splits a skewed group in that join).
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -27,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import zfill
-from ..session import ensure_checkpoint_dir
+from ..session import is_planning, scratch_path
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row position in its lower 33 bits
 
@@ -45,9 +44,10 @@ def pin(df: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
     tasks read the same numbers. The input is cached first so that range sampling and the write do not
     run the plan above twice; a frame the caller has cached is used as it is and stays cached. The table is plain parquet, so readers get column pruning and pushdown.
     """
+    if is_planning():  # only the shape of the plan is asked for
+        return df.withColumn("_pin_part", F.lit(0).cast("long")).withColumn("_pin_pos", F.lit(0).cast("long"))
     spark = df.sparkSession
-    folder = ensure_checkpoint_dir(spark)
-    path = f"{folder.rstrip('/')}/pinned-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "pinned")
     own_cache = bool(order) and df.storageLevel == StorageLevel.NONE
     cached = df.persist(StorageLevel.MEMORY_AND_DISK) if own_cache else df
     try:

@@ -14,8 +14,11 @@ _MODULES = [master, suppliers, quotation, tender, orders, warehouse, fleet, asse
 
 JOBS: dict[str, Callable[[Legacy, MigrationContext], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+#: Outputs kept in segments: name -> function that gives segment -> rows, or None for a segment that stays as it is.
+SEGMENTS: dict[str, Callable[[Legacy, MigrationContext], dict[str, DataFrame | None]]] = {}
 for _m in _MODULES:
     JOBS.update(_m.QUERIES)
+    SEGMENTS.update(getattr(_m, "SEGMENTS", {}))
     ORACLE.update(_m.ORACLE)
 
 

@@ -9,8 +9,8 @@ from ..context import MigrationContext
 from ..functions import sqltext as Q
 from ..functions.text import cut, title_case, zfill
 from ..operators.numbering import global_number, hierarchical_code
-from ..operators.quality import quality_split
-from ..sources.catalog import Legacy, derived, oracle
+from ..operators.quality import Split, quality_split
+from ..sources.catalog import Legacy, derived, oracle, view
 
 
 # --- P1 units of measure -------------------------------------------------------------------------
@@ -102,8 +102,8 @@ ORACLE_SUBGROUPS = oracle("select grupo, '000' subgrupo, nome, ocultar from grup
 # --- P3 product codes ----------------------------------------------------------------------------
 
 @derived
-def _product_codes(src: Legacy, products: str = "produto", **group_kw):
-    """Returns (codes, overflow_subgroups, rejected)."""
+def _product_split(src: Legacy, products: str = "produto", **group_kw) -> Split:
+    """Products with the group of their class, accepted and rejected."""
     groups = _groups(src, products=products, **group_kw)
     p = src[products]
     u = src["unidademedida"].select("cdunidademedida", F.col("sgunidademedida").alias("unid1"))
@@ -111,8 +111,18 @@ def _product_codes(src: Legacy, products: str = "produto", **group_kw):
     g = groups.select("grupo", F.col("nome").alias("nome_grupo"),
                       F.col("conv_id").cast("int").alias("_gid"), F.col("conv_tipo").cast("int").alias("_gtipo"))
     tagged = rows.join(g, (rows.cdclassereduzido == g._gid) & (rows.tpmaterial == g._gtipo), "left")
-    accepted, rejected = quality_split(tagged, {"group not found": F.col("grupo").isNull()})
-    coded = hierarchical_code(accepted, ["tpmaterial", "cdclassereduzido"], ["cdmaterial"])
+    return quality_split(tagged, {"group not found": F.col("grupo").isNull()})
+
+
+@derived
+def _coded(src: Legacy, **kw) -> DataFrame:
+    return hierarchical_code(_product_split(src, **kw)[0], ["tpmaterial", "cdclassereduzido"], ["cdmaterial"])
+
+
+@view
+def _product_codes(src: Legacy, **kw):
+    """Returns (codes, overflow_subgroups, rejected)."""
+    coded, rejected = _coded(src, **kw), _product_split(src, **kw)[1]
     codes = coded.select(
         F.concat_ws(".", "grupo", "subgrupo", "codigo").alias("cadpro"),
         "grupo", "subgrupo",

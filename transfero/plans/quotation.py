@@ -10,9 +10,9 @@ from ..functions import sqltext as Q
 from ..functions.text import (capitalize, cut, decimal14_text, doc_pad_b, keep_right, lot_item_number, title_case,
                               year_chars_3_4, year_mod_2000)
 from ..operators.numbering import first_per_key, group_number
-from ..operators.quality import quality_split
+from ..operators.quality import Split, quality_split
 from ..operators.resolve import resolve_supplier
-from ..sources.catalog import Legacy, derived, oracle
+from ..sources.catalog import Legacy, derived, oracle, view
 from . import master, suppliers, warehouse
 
 # Fixed values of the target system.
@@ -84,10 +84,15 @@ def _item_rows(src: Legacy) -> DataFrame:
 
 
 @derived
-def _items(src: Legacy) -> tuple[DataFrame, DataFrame]:
+def _item_split(src: Legacy) -> Split:
     rows = group_number(_item_rows(src), ["id_cadorc"], ["nritem", "lote", "cdmaterial", "cdorgaoreduzido"], "rn")
     rows = rows.join(warehouse._products(src), "cdmaterial", "left")
-    ok, bad = quality_split(rows, {"product code not found": F.col("cadpro").isNull()})
+    return quality_split(rows, {"product code not found": F.col("cadpro").isNull()})
+
+
+@view
+def _items(src: Legacy) -> tuple[DataFrame, DataFrame]:
+    ok, bad = _item_split(src)
     item = lot_item_number("lote", "rn", "qtdlote")
     items = ok.select(
         _numorc().alias("numorc"), item.alias("item"), item.alias("itemorc"), F.lit(0.0).alias("valor"),

@@ -24,7 +24,7 @@ def rejected_bids(src: Legacy, ctx: MigrationContext) -> DataFrame:
 def _oracle(ctx: MigrationContext) -> dict[str, str]:
     tables = sorted(set(quotation._Q_TABLES + suppliers._SUPPLIER_TABLES + [
         "produto", "classificacao", "classificacao_bens", "classificacao_obras", "unidademedida",
-        "processolicitatorio", "itemobjeto", "tender_proposta", "classificacaoproposta", "tabela_preco_item"]))
+        "processolicitatorio", "itemobjeto", "tender_proposta", "classificacaoproposta", "tabela_preco_item", *tender.BUDGET_TABLES]))
     ctes = quotation._oracle_ctes(ctx) + tender._oracle_ctes(ctx)
     body = ("select 'quotation_item' source, q.codant chave, cast(q.cdmaterial as bigint) cdmaterial, "
             "'product code not found' reason from qitems q left join codes c on c.codreduz = q.cdmaterial "

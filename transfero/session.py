@@ -10,6 +10,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -63,5 +67,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+_planning: ContextVar[bool] = ContextVar("planning", default=False)
+
+
+@contextmanager
+def scratch_owner(paths: list[str]) -> Iterator[None]:
+    """Scratch tables taken inside are added to ``paths``, so that their owner can remove them."""
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the checkpoint folder."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if (owned := _scratch.get()) is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def planning() -> Iterator[None]:
+    """Inside, steps are built without running any job: what they would write at once is left out."""
+    token = _planning.set(True)
+    try:
+        yield
+    finally:
+        _planning.reset(token)
+
+
+def is_planning() -> bool:
+    return _planning.get()
+
+
 def sf_dir_default() -> str:
     return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

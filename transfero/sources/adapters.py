@@ -122,11 +122,33 @@ ADAPTERS: dict[str, str] = {
     ),
     "itemobjeto": (
         "select l_orderkey id_processolicitatorio, l_orderkey nrprocesso, cast(year(o_orderdate) as int) dtanoprocesso, "
-        "4 cdtipoprocesso, l_linenumber % 3 lote, l_linenumber nritem, min(l_partkey) cdmaterial, concat('LOTE ', "
-        "cast(l_linenumber % 3 as string)) nmlote, cast(sum(l_quantity) as decimal(18,5)) qtitemobjeto from lineitem "
-        "join orders on o_orderkey = l_orderkey where l_linenumber < 7 group by l_orderkey, cast(year(o_orderdate) as "
+        "4 cdtipoprocesso, l_linenumber % 3 lote, l_linenumber + case when l_linenumber = 7 then 100 else 0 end nritem, "
+        "min(l_partkey) cdmaterial, concat('LOTE ', cast(l_linenumber % 3 as string), case when l_orderkey % 7 = 2 then "
+        "concat(' ITEM ', cast(l_linenumber as string)) else '' end) nmlote, cast(sum(l_quantity) as decimal(18,5)) "
+        "qtitemobjeto from lineitem join orders on o_orderkey = l_orderkey group by l_orderkey, cast(year(o_orderdate) as "
         "int), l_linenumber"
     ),
+    "itemdespesa": (
+        "select l_orderkey nrprocesso, cast(year(o_orderdate) as int) dtanoprocesso, 4 cdtipoprocesso, l_linenumber % 3 lote, "
+        "l_linenumber nritem, cast(year(o_orderdate) as int) dtanoexercicio, cast((l_orderkey + l_linenumber + part.n) % 40 as int) "
+        "cddespesa, case when l_orderkey % 12 = 5 then null else cast(sum(l_quantity) * (part.n + 1) as decimal(18,5)) end qtdeitem, "
+        "case when l_orderkey % 14 = 3 then null else cast(floor(min(l_extendedprice / l_quantity) * 100) / 100 as decimal(18,5)) end "
+        "valor_estimado from lineitem join orders on o_orderkey = l_orderkey join (select 0 n union all select 1) part on "
+        "part.n <= l_linenumber % 2 group by l_orderkey, cast(year(o_orderdate) as int), l_linenumber, part.n"
+    ),
+    "despesa": (
+        "select distinct cast(year(o_orderdate) as int) dtano, cast(o_orderkey % 40 as int) cddespesa, cast(o_orderkey % 40 % 25 as int) "
+        "cdorgaoreduzido from orders where o_orderkey % 40 % 13 <> 7"
+    ),
+    "icadorc_fic": (
+        "select concat(cast(l_orderkey as string), substring(cast(year(o_orderdate) as string), 3, 2)) id_cadorc, l_linenumber item, "
+        "part.codigo, cast(l_orderkey % 40 as int) ficha, concat('3.3.90.', cast(30 + part.codigo as string)) elemento, "
+        "cast(part.codigo as string) desdobro, concat('33903', cast(part.codigo as string)) balco_tce, case when l_orderkey % 10 = 9 then null "
+        "else cast(sum(l_quantity) * part.codigo as decimal(18,5)) end qtd, case when l_orderkey % 9 = 4 then null else "
+        "cast(floor(sum(l_extendedprice) * 100) / 100 as decimal(18,5)) end valor from lineitem join orders on o_orderkey = l_orderkey join "
+        "(select 1 codigo union all select 2 union all select 3) part on part.codigo <= l_orderkey % 4 "
+        "group by l_orderkey, cast(year(o_orderdate) as int), cast(year(o_orderdate) as string), l_linenumber, part.codigo"
+    ),
     "classificacaoproposta": (
         "select fk_processo_licitatorio, nrprocesso, dtanoprocesso, cdtipoprocesso, lote, nritem, cdmaterial, "
         "cdfornecedor, vlcotacaoproposta, cast(row_number() over (partition by nrprocesso, nritem order by "
@@ -154,7 +176,7 @@ ADAPTERS: dict[str, str] = {
     ),
     "integrainstrumentopedido": (
         "select l_orderkey nrprocesso, cast(year(o_orderdate) as int) dtanoprocesso, 4 cdtipoprocesso, l_linenumber % 3 lote, "
-        "l_linenumber nritem, l_partkey cdmaterial from lineitem join orders on o_orderkey = l_orderkey where l_orderkey % 10 = 1"
+        "l_linenumber nritem, case when l_orderkey % 10 = 1 then l_partkey end cdmaterial from lineitem join orders on o_orderkey = l_orderkey"
     ),
     "despes": (
         "select o_orderkey pkemp, o_orderkey + 7 id_nrempenho, cast(year(o_orderdate) as int) id_dtanoemissao, "
@@ -216,7 +238,16 @@ ADAPTERS: dict[str, str] = {
         "cast(floor(l_extendedprice * 90) / 100 as decimal(18,5)) vlanterior, case when l_linenumber % 3 = 0 then null "
         "else cast(l_suppkey % 25 as int) end cdlocalanterior, case when l_returnflag = 'N' then null else "
         "cast(l_orderkey % 25 as int) end cdlocalatual, case when l_tax = 0 then -1 else 0 end inestorno, case when "
-        "l_linenumber = 7 then 3 else null end cdtpbaixa, l_orderkey chmovimento from lineitem"
+        "l_linenumber = 7 then 3 else null end cdtpbaixa, l_orderkey chmovimento, case when l_suppkey % 6 = 0 then null "
+        "else l_suppkey % 7 end cdmotivo, kind.dsobservacao, kind.dsfundamento from lineitem join ("
+        # a third of the orders has two movements that differ only in the end of a long text
+        "select 0 part, cast(null as string) dsobservacao, cast(null as string) dsfundamento union all "
+        "select 1, 'Conferido no inventario anual da comissao', concat(repeat('Lei de patrimonio publico, ', 40), 'artigo 1') union all "
+        "select 1, 'Conferido no inventario anual da comissao', concat(repeat('Lei de patrimonio publico, ', 40), 'artigo 2') union all "
+        "select 2, 'Termo de responsabilidade', 'Lei de patrimonio publico') kind on kind.part = l_orderkey % 3"
+    ),
+    "motivo": (
+        "select r_regionkey cdmotivo, concat('MOTIVO ', r_name) dsmotivo from region"
     ),
     "movimentodepreciacao": (
         "select l_partkey cditem, l_shipdate dtmovimento, cast(floor(l_extendedprice) / 100 as decimal(18,5)) "

@@ -7,25 +7,135 @@ as one plan, so filters and column pruning reach the parquet scan.
 
 from __future__ import annotations
 
+import copy
+import functools
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.quality import Split
+from ..session import is_planning, scratch_owner, scratch_path
 from .adapters import ADAPTERS
+from .files import fingerprint, remove
+from .target import Snapshot
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
-class Legacy:
-    """Legacy-shaped inputs of one data folder."""
+class Catalog:
+    """What jobs read: legacy tables, tables already in the target, and steps derived from them.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    Steps are built once. While one is built, every table and step it asks for is noted, so the reads form a graph
+    (``reads``: node -> nodes it uses). A step named in ``shared`` is written once and read from there by all that
+    use it; ``release`` removes what a step has written when its last reader is through.
+    """
+
+    spark: SparkSession
+
+    def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.sf_dir = sf_dir.rstrip("/")
+        self.previous: Snapshot | None = None
+        self.shared: set[tuple] = set()
+        self.reads: dict[tuple, set[tuple]] = {}
+        self.written: list[tuple] = []
         self._cache: dict[str, DataFrame] = {}
         self._memo: dict[tuple, object] = {}
+        self._scratch: dict[tuple, list[str]] = {}
+        self._inside: list[tuple] = []
+
+    def read(self, name: str) -> DataFrame:
+        raise NotImplementedError
+
+    def table(self, name: str) -> DataFrame:
+        node = ("table", name)
+        self._note(node)
+        if name not in self._cache:
+            with self.inside(node):
+                self._cache[name] = self.read(name)
+        return self._cache[name]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.table(name)
+
+    def existing(self, output: str, table: str, without: tuple[str, ...] = ()) -> DataFrame:
+        """Rows of a target table before this run: what the last run published as ``output`` (without the segments
+        that this run replaces), or else the legacy name ``table``."""
+        self._note(("target", output))
+        published = self.previous.table(output, without) if self.previous else None
+        return self.table(table) if published is None else published
+
+    def _note(self, node: tuple) -> None:
+        if self._inside:
+            self.reads.setdefault(self._inside[-1], set()).add(node)
+
+    @contextmanager
+    def inside(self, node: tuple) -> Iterator[None]:
+        self._inside.append(node)
+        self.reads.setdefault(node, set())
+        try:
+            with scratch_owner(self._scratch.setdefault(node, [])):
+                yield
+        finally:
+            self._inside.pop()
+
+    def memo(self, key: tuple, build: Callable[[], object], store: bool = False) -> object:
+        """Build a derived result once per catalog (DataFrames are immutable, so sharing is safe); with ``store``
+        it is written once whoever reads it."""
+        self._note(key)
+        if key not in self._memo:
+            with self.inside(key):
+                result = build()
+            if (store or key in self.shared) and not is_planning():
+                result = self._store(key, result)
+            self._memo[key] = result
+        return self._memo[key]
+
+    def _store(self, key: tuple, result: object) -> object:
+        """Write a step once. A split is written before it is split; other tuples frame by frame."""
+        inner, self._scratch[key] = self._scratch[key], []
+
+        def write(df: DataFrame) -> DataFrame:
+            with scratch_owner(self._scratch[key]):
+                path = scratch_path(df.sparkSession, "step")
+            df.write.parquet(path)
+            self.written.append(key)
+            return df.sparkSession.read.schema(df.schema).parquet(path)
+
+        if isinstance(result, Split):
+            stored = Split(write(result.tagged), *result.only_rejected)
+        elif isinstance(result, tuple):
+            stored = tuple(write(df) for df in result)
+        else:
+            stored = write(result)
+        for path in inner:  # numbering tables that only this step has read
+            remove(SparkSession.getActiveSession(), path)
+        return stored
+
+    def release(self, node: tuple) -> None:
+        """Remove what ``node`` has written; nothing reads it any more."""
+        for path in self._scratch.pop(node, []):
+            remove(SparkSession.getActiveSession(), path)
+        self._memo.pop(node, None)
+        if node[0] == "table":
+            self._cache.pop(node[1], None)
+
+    def outline(self) -> "Catalog":
+        """A catalog over the same tables with nothing derived yet, for planning."""
+        twin = copy.copy(self)
+        twin.shared, twin.reads, twin.written = set(), {}, []
+        twin._cache, twin._memo, twin._scratch, twin._inside = {}, {}, {}, []
+        return twin
+
+
+class Legacy(Catalog):
+    """Legacy-shaped inputs of one data folder."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(spark)
+        self.sf_dir = sf_dir.rstrip("/")
         self._base: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
@@ -33,39 +143,47 @@ class Legacy:
             self._base[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._base[name]
 
-    def table(self, name: str) -> DataFrame:
-        if name not in self._cache:
-            builder = _SPARK_BUILDERS.get(name)
-            if builder is not None:
-                df = builder(self)
-            else:
-                # The adapter's table names become DataFrame parameters of spark.sql, so no temporary
-                # view is registered in the caller's session.
-                text = ADAPTERS[name]
-                used = [b for b in BASE_TABLES if re.search(rf"\b{b}\b", text)]
-                template = re.sub(rf"\b({'|'.join(used)})\b", r"{\1}", text) if used else text
-                df = self.spark.sql(template, **{b: self.base(b) for b in used})
-            self._cache[name] = df
-        return self._cache[name]
+    def read(self, name: str) -> DataFrame:
+        builder = _SPARK_BUILDERS.get(name)
+        if builder is not None:
+            return builder(self)
+        # The adapter's table names become DataFrame parameters of spark.sql, so no temporary
+        # view is registered in the caller's session.
+        text, used = ADAPTERS[name], base_tables(name)
+        template = re.sub(rf"\b({'|'.join(used)})\b", r"{\1}", text) if used else text
+        return self.spark.sql(template, **{b: self.base(b) for b in used})
 
-    __getitem__ = table
+    def made_from(self, name: str) -> str:
+        """Digest of the files behind a legacy table."""
+        return " ".join(fingerprint(self.base(b)) for b in base_tables(name))
 
-    def memo(self, key: tuple, build: Callable[[], object]) -> object:
-        """Build a derived result once per catalog (DataFrames are immutable, so sharing is safe)."""
-        if key not in self._memo:
-            self._memo[key] = build()
-        return self._memo[key]
+
+def base_tables(name: str) -> list[str]:
+    return [b for b in BASE_TABLES if re.search(rf"\b{b}\b", ADAPTERS[name])]
 
 
 def derived(fn):
     """Decorator for job steps ``fn(src, *args)``: one build per catalog and arguments, so a step used
     by several outputs of a job (and the checkpoints it takes) is not repeated."""
-    import functools
+    @functools.wraps(fn)
+    def wrapper(src: Catalog, *args, **kw):
+        return src.memo(("step", fn.__module__, fn.__qualname__, args, tuple(sorted(kw.items()))), lambda: fn(src, *args, **kw))
+    return wrapper
+
+
+def stored(fn):
+    """Like ``derived``, for a step that a single output reads several times: it is written once."""
+    @functools.wraps(fn)
+    def wrapper(src: Catalog, *args, **kw):
+        return src.memo(("step", fn.__module__, fn.__qualname__, args, tuple(sorted(kw.items()))), lambda: fn(src, *args, **kw), store=True)
+    return wrapper
+
 
+def view(fn):
+    """Like ``derived``, for a cheap projection of other steps: it is never worth a table of its own."""
     @functools.wraps(fn)
-    def wrapper(src: Legacy, *args, **kw):
-        key = (fn.__module__, fn.__qualname__, args, tuple(sorted(kw.items())))
-        return src.memo(key, lambda: fn(src, *args, **kw))
+    def wrapper(src: Catalog, *args, **kw):
+        return src.memo(("view", fn.__module__, fn.__qualname__, args, tuple(sorted(kw.items()))), lambda: fn(src, *args, **kw))
     return wrapper
 
 
@@ -103,8 +221,17 @@ def _almox_movimento(src: Legacy) -> DataFrame:
                            "qtdeentrada", "qtdesaida", "vlcustoitem", "sldvalor", "cdfornecedor")
 
 
+def _earlier_registry(history: bool) -> Callable[[Legacy], DataFrame]:
+    def build(src: Legacy) -> DataFrame:
+        from ..plans.tender import earlier_registry
+        return earlier_registry(src, history)
+    return build
+
+
 _SPARK_BUILDERS: dict[str, Callable[[Legacy], DataFrame]] = {
     "almox_movimento": _almox_movimento,
+    "regpreco_existing": _earlier_registry(False),
+    "regprecohis_existing": _earlier_registry(True),
 }
 
 

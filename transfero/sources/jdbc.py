@@ -14,6 +14,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import is_planning
+from .catalog import Catalog
+
 # legacy name used by the jobs -> (database, table)
 LEGACY_TABLES: dict[str, tuple[str, str]] = {
     "unidademedida": ("ALMOX", "UnidadeMedida"),
@@ -54,6 +57,7 @@ LEGACY_TABLES: dict[str, tuple[str, str]] = {
     "patri_movimento": ("PATRI", "movimento"),
     "movimentodepreciacao": ("PATRI", "movimentodepreciacao"),
     "movimentovlcomplementar": ("PATRI", "movimentovlcomplementar"),
+    "motivo": ("PATRI", "motivo"),
     "ppaplanoconta": ("PPA", "ppaplanoconta"),
 }
 
@@ -77,7 +81,7 @@ SLICE_KEYS: dict[str, str] = {
 
 
 @dataclass
-class JdbcLegacy:
+class JdbcLegacy(Catalog):
     """Legacy tables of one entity over JDBC; ``targets`` holds pre-existing target tables
     (existing suppliers, commitments, tender sessions, cost centres, ...) as DataFrames supplied by the caller."""
 
@@ -87,8 +91,9 @@ class JdbcLegacy:
     options: dict[str, str] = field(default_factory=dict)
     targets: dict[str, DataFrame] = field(default_factory=dict)
     rows_per_slice: int = 500_000
-    _cache: dict[str, DataFrame] = field(default_factory=dict)
-    _memo: dict[tuple, object] = field(default_factory=dict)
+
+    def __post_init__(self):
+        super().__init__(self.spark)
 
     def dbtable(self, name: str) -> str:
         db, table = LEGACY_TABLES[name]
@@ -100,25 +105,15 @@ class JdbcLegacy:
                .option("query", f"select min({col}) lo, max({col}) hi, count(*) n from {dbtable}").load().first())
         return int(row["lo"] or 0), int(row["hi"] or 0), int(row["n"] or 0)
 
-    def table(self, name: str) -> DataFrame:
+    def read(self, name: str) -> DataFrame:
         if name in self.targets:
             return self.targets[name]
-        if name not in self._cache:
-            dbtable = self.dbtable(name)
-            reader = self.spark.read.format("jdbc").options(**self.options).option("url", self.url) \
-                .option("dbtable", dbtable)
-            key = SLICE_KEYS.get(name)
-            if key:
-                lo, hi, n = self._bounds(dbtable, key)
-                reader = reader.option("partitionColumn", key).option("lowerBound", lo) \
-                    .option("upperBound", hi + 1).option("numPartitions", max(1, -(-n // self.rows_per_slice)))
-            df = reader.load()
-            self._cache[name] = df.select(*[F.col(c).alias(c.lower()) for c in df.columns])
-        return self._cache[name]
-
-    __getitem__ = table
-
-    def memo(self, key: tuple, build):
-        if key not in self._memo:
-            self._memo[key] = build()
-        return self._memo[key]
+        dbtable = self.dbtable(name)
+        reader = self.spark.read.format("jdbc").options(**self.options).option("url", self.url).option("dbtable", dbtable)
+        key = SLICE_KEYS.get(name)
+        if key and not is_planning():
+            lo, hi, n = self._bounds(dbtable, key)
+            reader = reader.option("partitionColumn", key).option("lowerBound", lo) \
+                .option("upperBound", hi + 1).option("numPartitions", max(1, -(-n // self.rows_per_slice)))
+        df = reader.load()
+        return df.select(*[F.col(c).alias(c.lower()) for c in df.columns])

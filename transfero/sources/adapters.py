@@ -18,6 +18,10 @@ ADAPTERS: dict[str, str] = {
         "select distinct cast(substring(p_brand,7) as int) cdclassereduzido, concat('CLASSE ', p_brand) "
         "dsclassificacao, cast(substring(p_brand,7) as int) % 3 + 1 nrnivel from part"
     ),
+    "patri_classificacao": (
+        "select distinct cast(substring(p_brand,7) as int) cdclassereduzido, concat('CLASSE ', p_brand) "
+        "dsclassificacao, cast(substring(p_brand,7) as int) % 3 + 1 nrnivel from part"
+    ),
     "classificacao_bens": (
         "select distinct cast(substring(p_brand,7) as int) cdclassereduzido, concat('BENS ', p_brand) dsclassificacao "
         "from part"
@@ -184,9 +188,19 @@ ADAPTERS: dict[str, str] = {
     ),
     "instrumentocontratual": (
         "select o_orderkey nrinstrumentocontratual, cast(year(o_orderdate) as int) dtanoinstrumentocontratual, 1 "
-        "tpinstrumentocontratual, o_orderkey nrprocesso, cast(year(o_orderdate) as int) dtanoprocesso, case when "
-        "o_orderkey % 16 = 0 then o_orderkey + 900000000 else o_orderkey end nr_empenho, cast(year(o_orderdate) as int) "
-        "dt_ano_empenho, o_orderdate dtinstrumentocontratual from orders"
+        "tpinstrumentocontratual, o_orderkey nrprocesso, cast(year(o_orderdate) as int) dtanoprocesso, "
+        "o_orderdate dtinstrumentocontratual, case when o_custkey % 30 < 25 then o_custkey % 30 end cdlocalentrega from orders"
+    ),
+    "instrumento_contratual_empenho": (
+        # every contract has its own commitment, a third of them also the first one of their year
+        "select o_orderkey * 2 + part.n pkid, o_orderkey nr_instrumento_contratual, cast(year(o_orderdate) as int) dt_ano_instrumento_contratual, "
+        "1 tp_instrumento_contratual, case when part.n = 1 then first_order.k when o_orderkey % 16 = 0 then o_orderkey + 900000000 "
+        "else o_orderkey end nr_empenho, cast(year(o_orderdate) as int) dt_ano_empenho from orders join (select 0 n union all select 1) part "
+        "on part.n = 0 or o_orderkey % 3 = 0 join (select cast(year(o_orderdate) as int) y, min(o_orderkey) k from orders "
+        "group by cast(year(o_orderdate) as int)) first_order on first_order.y = cast(year(o_orderdate) as int)"
+    ),
+    "localentrega": (
+        "select n_nationkey cdlocalentrega, concat('ENTREGA EM ', n_name) dslocalentrega from nation"
     ),
     "almox_movimento": (
         "select row_number() over (order by l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, "
@@ -263,7 +277,8 @@ ADAPTERS: dict[str, str] = {
         "select l_orderkey nrinstrumentocontratual, cast(year(o_orderdate) as int) dtanoinstrumentocontratual, 1 "
         "tpinstrumentocontratual, l_linenumber % 3 lote, l_linenumber nritem, min(l_partkey) cdmaterial, "
         "cast(sum(l_quantity) as decimal(18,5)) qtitem, cast(floor(min(l_extendedprice / l_quantity) * 100) / 100 as "
-        "decimal(18,5)) valor_unitario from lineitem join orders on o_orderkey = l_orderkey "
+        "decimal(18,5)) valor_unitario, l_orderkey * 2 + case when l_orderkey % 3 = 0 and l_linenumber % 2 = 0 then 1 else 0 end "
+        "fk_instrumento_contratual_empenho from lineitem join orders on o_orderkey = l_orderkey "
         "group by l_orderkey, cast(year(o_orderdate) as int), l_linenumber"
     ),
     "condicaopagamento": (

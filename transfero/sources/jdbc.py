@@ -46,10 +46,15 @@ LEGACY_TABLES: dict[str, tuple[str, str]] = {
     "dataview_pedidoempenho": ("COMPRAS", "dataview_pedidoempenho"),
     "instrumentocontratual": ("COMPRAS", "instrumentocontratual"),
     "iteminstrumentocontratual": ("COMPRAS", "iteminstrumentocontratual"),
+    "instrumento_contratual_empenho": ("COMPRAS", "instrumento_contratual_empenho"),
+    "localentrega": ("COMPRAS", "localentrega"),
+    "itemdespesa": ("COMPRAS", "ITEMDESPESA"),
+    "despesa": ("COMPRAS", "DESPESA"),
     "motorista": ("FROTAS", "motorista"),
     "frotas_veiculo": ("FROTAS", "veiculo"),
     "tipoveiculo": ("FROTAS", "tipoveiculo"),
     "movtoveiculo": ("FROTAS", "movtoveiculo"),
+    "patri_classificacao": ("PATRI", "classificacao"),
     "patri_item": ("PATRI", "item"),
     "localizacao": ("PATRI", "localizacao"),
     "estadoconservacao": ("PATRI", "estadoconservacao"),

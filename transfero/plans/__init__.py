@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..context import DEFAULT_CONTEXT, MigrationContext
 from ..sources.catalog import Legacy
-from . import assets, fleet, master, orders, quotation, rejects, suppliers, tender, warehouse
+from . import assets, fleet, master, orders, quotation, rejects, requisitions, suppliers, tender, warehouse
 
-_MODULES = [master, suppliers, quotation, tender, orders, warehouse, fleet, assets, rejects]
+_MODULES = [master, suppliers, quotation, tender, orders, warehouse, fleet, requisitions, assets, rejects]
 
 JOBS: dict[str, Callable[[Legacy, MigrationContext], DataFrame]] = {}
 ORACLE: dict[str, str] = {}

@@ -11,7 +11,7 @@ from ..functions.text import cut, zfill
 from ..operators.joins import containment_join
 from ..operators.merge import merge_update
 from ..operators.numbering import control_break, first_per_key, global_number
-from ..operators.quality import quality_split
+from ..operators.quality import Split, arithmetic, quality_split
 from ..sources.catalog import Legacy, derived, oracle
 from . import suppliers, warehouse
 
@@ -62,7 +62,7 @@ def vehicles(src: Legacy, ctx: MigrationContext) -> DataFrame:
 @derived
 def _centres_before(src: Legacy, ctx: MigrationContext) -> DataFrame:
     """Cost centres present before the vehicle load: the migrated ones and the plate centres."""
-    cc = suppliers.cost_centers(src, ctx).select("codccusto", "descr", "destino", "ccusto", "empresa", "ocultar")
+    cc = suppliers.cost_centers(src, ctx).select("codccusto", "descr", "destino", "ccusto", "empresa", "ocultar", "poder", "orgao", "unidade")
     plates = src["centrocusto_placa"].select(F.col("codccusto").cast("long").alias("codccusto"), "descr")
     return cc.unionByName(plates, allowMissingColumns=True).withColumn("placa", F.lit(None).cast("string"))
 
@@ -95,7 +95,7 @@ def vehicle_cost_centers(src: Legacy, ctx: MigrationContext) -> DataFrame:
 
 
 @derived
-def _fuel(src: Legacy, ctx: MigrationContext) -> tuple[DataFrame, DataFrame]:
+def _fuel(src: Legacy, ctx: MigrationContext) -> Split:
     y = ctx.fleet_year
     m = src["movtoveiculo"].filter((F.col("dtmovimento") >= F.lit(f"{y}-01-01").cast("date"))
                                    & (F.col("dtmovimento") < F.lit(f"{y + 1}-01-01").cast("date"))
@@ -105,9 +105,8 @@ def _fuel(src: Legacy, ctx: MigrationContext) -> tuple[DataFrame, DataFrame]:
     rows = m.join(v, "cdveiculo")
     prod = warehouse._products(src).withColumnRenamed("cdmaterial", "cditemmaterial")
     rows = rows.join(prod, "cditemmaterial", "left")
-    ok, bad = quality_split(rows, {"product code not found": F.col("cadpro").isNull(),
-                                   "zero quantity": F.col("qtmovimentada") == 0})
-    return ok, bad
+    return quality_split(rows, {"product code not found": F.col("cadpro").isNull(),
+                                   "zero quantity": F.col("qtmovimentada") == 0, **arithmetic("vlvalor", "qtmovimentada")})
 
 
 @derived
@@ -130,20 +129,20 @@ def fuel_items(src: Legacy, ctx: MigrationContext) -> DataFrame:
         F.col("qtmovimentada").cast("double").alias("quan1"), F.col("qtmovimentada").cast("double").alias("quan2"),
         unit.alias("vaun1"), unit.alias("vaun2"), F.lit(NO_LOT).alias("lote"),
         F.col("vlvalor").cast("double").alias("vato1"), F.col("vlvalor").cast("double").alias("vato2"),
-        "placa", "codccusto",
+        "placa", F.col("nrmarcador").alias("km"), F.col("nrnfdepartamento").alias("documento"), "codccusto",
         (F.col("_hdr") + F.col("_id0")).cast("long").alias("id_requi"), F.lit(ctx.company).alias("empresa"))
 
 
 def fuel_requisitions(src: Legacy, ctx: MigrationContext) -> DataFrame:
     rows = _fuel_numbered(src, ctx)
-    heads = first_per_key(rows, ["_hdr"], ["item"], take=["dtmovimento", "cdfornecedormotorista", "_id0", "_num0"])
+    heads = first_per_key(rows, ["_hdr"], ["item"], take=["dtmovimento", "cdfornecedormotorista", "nrnfdepartamento", "_id0", "_num0"])
     look = suppliers.supplier_lookup(src, ctx)
     heads = heads.join(look, heads.cdfornecedormotorista == look.codant, "left")
     num = zfill(F.col("_hdr") + F.col("_num0"), 6)
     return heads.select(
         F.concat(num, F.lit("/" + ctx.fleet_yy)).alias("requi"), num.alias("num"), F.lit(ctx.fleet_year).alias("ano"),
         F.col("dtmovimento").alias("dtlan"), F.col("dtmovimento").alias("datae"), F.col("dtmovimento").alias("dtpag"),
-        "codif", F.lit("S").alias("entr"), F.lit("S").alias("said"), F.lit("P").alias("comp"),
+        "codif", F.col("nrnfdepartamento").alias("docum"), F.lit("S").alias("entr"), F.lit("S").alias("said"), F.lit("P").alias("comp"),
         F.lit("R").alias("tiposaida"), F.lit("S").alias("entr_said"),
         (F.col("_hdr") + F.col("_id0")).cast("long").alias("id_requi"), F.lit(ctx.company).alias("empresa"))
 
@@ -155,7 +154,7 @@ def fuel_rejected(src: Legacy, ctx: MigrationContext) -> DataFrame:
 
 # --- oracles ---------------------------------------------------------------------------------------
 
-_FLEET_TABLES = ["frotas_veiculo", "produto", "centrocusto_placa", "orgao"]
+_FLEET_TABLES = ["frotas_veiculo", "produto", "centrocusto_placa", "orgao", "desorc"]
 
 
 def _oracle_fleet_ctes(ctx: MigrationContext) -> list[tuple[str, str]]:
@@ -163,7 +162,7 @@ def _oracle_fleet_ctes(ctx: MigrationContext) -> list[tuple[str, str]]:
     veh = (f"select v.*, {plate} placa, p.descricao_unica from frotas_veiculo v left join produto p "
            "on p.cdmaterial = v.cdcombustivel where v.nrplacaveiculo <> ''")
     cc = (f"select codccusto, descr, destino, ccusto, empresa, ocultar, cast(null as varchar) placa, "
-          "cast(null as varchar) poder, cast(null as varchar) orgao, cast(null as varchar) unidade from ccmig "
+          "poder, orgao, unidade from ccmig "
           "union all select cast(codccusto as bigint), descr, null, null, null, null, null, null, null, null "
           "from centrocusto_placa")
     match = ("select v.cdveiculo, v.placa, v.dtanofabricacao, (select min(c.codccusto) from cc0 c where "
@@ -184,17 +183,18 @@ def _oracle_fuel_ctes(ctx: MigrationContext) -> list[tuple[str, str]]:
     rows = ("select m.*, replace(replace(v.nrplacaveiculo, '-', ''), ' ', '') placa, c.cadpro from movtoveiculo m "
             f"join frotas_veiculo v on v.cdveiculo = m.cdveiculo left join codes c on c.codreduz = m.cditemmaterial "
             f"where year(m.dtmovimento) = {y} and m.cditemmaterial > 0 and v.nrplacaveiculo <> ''")
-    ok = "select * from frows where cadpro is not null and not coalesce(qtmovimentada = 0, false)"
+    ok = "select * from frows where cadpro is not null and qtmovimentada <> 0 and vlvalor is not null"
     hw = ("select (select coalesce(max(id_requi), 0) from (select id_requi from wreq union all select id_requi "
-          "from opening)) id0, (select coalesce(max(cast(num as bigint)), 0) from (select num from wreq union all "
-          "select '0' from opening)) num0")
+          "from opening union all select id_requi from rkept)) id0, (select coalesce(max(cast(num as bigint)), 0) from "
+          "(select num from wreq union all select num from rkept)) num0")
     heads = "select dtmovimento, row_number() over (order by dtmovimento) n from (select distinct dtmovimento from fok) d"
     items = ("select f.*, h.n, row_number() over (partition by h.n order by f.nrsequencia) item from fok f "
              "join fheads h using (dtmovimento)")
     return [("frows", rows), ("fok", ok), ("hw", hw), ("fheads", heads), ("fitems", items)]
 
 
-def _oracle(ctx: MigrationContext) -> dict[str, str]:
+def oracle_bodies(ctx: MigrationContext) -> dict:
+    """Tables, CTEs and bodies of the fuel oracles."""
     yy = ctx.fleet_yy
     wh_ctes = warehouse._oracle_movement_ctes(ctx)
     sup_tables, sup_ctes = suppliers.oracle_lookup_ctes(ctx)
@@ -206,16 +206,23 @@ def _oracle(ctx: MigrationContext) -> dict[str, str]:
     items = (f"select {num} || '/{yy}' requi, cast(item as bigint) item, cadpro, cast(qtmovimentada as double) quan1, "
              "cast(qtmovimentada as double) quan2, cast(vlvalor as double) / cast(qtmovimentada as double) vaun1, "
              "cast(vlvalor as double) / cast(qtmovimentada as double) vaun2, "
-             f"'{NO_LOT}' lote, cast(vlvalor as double) vato1, cast(vlvalor as double) vato2, i.placa, "
+             f"'{NO_LOT}' lote, cast(vlvalor as double) vato1, cast(vlvalor as double) vato2, i.placa, nrmarcador km, nrnfdepartamento documento, "
              "(select min(c.codccusto) from vcc c where c.placa = i.placa) codccusto, cast(n + id0 as bigint) id_requi, "
              f"{ctx.company} empresa from fitems i, hw")
     heads = (f"select {num} || '/{yy}' requi, {num} num, {ctx.fleet_year} ano, dtmovimento dtlan, dtmovimento datae, "
-             "dtmovimento dtpag, (select s.codif from supplier_lookup s where s.codant = i.cdfornecedormotorista) codif, "
+             "dtmovimento dtpag, (select s.codif from supplier_lookup s where s.codant = i.cdfornecedormotorista) codif, nrnfdepartamento docum, "
              "'S' entr, 'S' said, 'P' comp, 'R' tiposaida, 'S' entr_said, cast(n + id0 as bigint) id_requi, "
              f"{ctx.company} empresa from fitems i, hw where item = 1")
+    return {"tables": all_tables, "ctes": wh_ctes + sup_ctes + [wreq] + fleet + fuel, "fuel_items": items, "fuel_requisitions": heads}
+
+
+def _oracle(ctx: MigrationContext) -> dict[str, str]:
+    bodies = oracle_bodies(ctx)
+    all_tables, full, items, heads = (bodies[k] for k in ("tables", "ctes", "fuel_items", "fuel_requisitions"))
+    fleet, fuel = _oracle_fleet_ctes(ctx), _oracle_fuel_ctes(ctx)
     rejected = ("select nrsequencia, cdveiculo, dtmovimento, cditemmaterial, case when cadpro is null then "
-                "'product code not found' else 'zero quantity' end reason from frows where cadpro is null or "
-                "coalesce(qtmovimentada = 0, false)")
+                "'product code not found' when qtmovimentada = 0 then 'zero quantity' else 'NULL arithmetic input' end reason from frows where cadpro is null or "
+                "qtmovimentada = 0 or qtmovimentada is null or vlvalor is null")
     drivers_sql = ("select cast(cdfuncionario as bigint) cod, nmfuncionario nome, cast(cast(nrcarteirahabilitacao as "
                    "decimal(20,0)) as varchar) cnh, dslogradouro secretaria, substring(nrfonemotorista, 1, 15) "
                    "telefone_celular, dtvalidadehabilitacao dtvenccnh, cdcategoriahabilitacao categcnh from motorista")
@@ -223,15 +230,14 @@ def _oracle(ctx: MigrationContext) -> dict[str, str]:
                f"'{ODOMETER}' tipo_marcador, '{AVERAGE_UNIT}' tipo_media, '{DISTANCE_TCE}' deslocamento_tce, "
                "dtanomodelo modelo, dtanomodelo anomod, nrrenavan renavam, nrchassi chassi, nrmarcadorinicial kminicial, "
                "nrmarcadoratual kmatual, (select min(dstpveiculo) from tipoveiculo t where t.cdtpveiculo = veh.cdtpveiculo) tipo from veh")
-    full = wh_ctes + sup_ctes + [wreq] + fleet + fuel
-    codes_and_fuel = warehouse._oracle_opening_ctes(ctx)[:4] + fuel[:2]
+    codes_and_fuel = [x for x in warehouse._oracle_opening_ctes(ctx) if x[0] in ("grupos", "coded", "split", "codes")] + fuel[:2]
     return {
         "drivers": oracle(drivers_sql, ["motorista"]),
         "vehicles": oracle(veh_sql, ["frotas_veiculo", "produto", "tipoveiculo"], [fleet[1]]),
         "vehicle_cost_centers": oracle("select * from vcc", _FLEET_TABLES, fleet),
         "fuel_items": oracle(items, all_tables, full),
         "fuel_requisitions": oracle(heads, all_tables, full),
-        "fuel_rejected": oracle(rejected, ["movtoveiculo", "frotas_veiculo"] + warehouse._WAREHOUSE_TABLES[1:],
+        "fuel_rejected": oracle(rejected, ["movtoveiculo", "frotas_veiculo"] + warehouse._WAREHOUSE_TABLES[3:],
                                 codes_and_fuel),
     }
 

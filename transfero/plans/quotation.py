@@ -43,7 +43,8 @@ def _money(c: Column) -> Column:
 def quotation_headers(src: Legacy, ctx: MigrationContext) -> DataFrame:
     p = src["processopesquisa"]
     f = src["condicaopagamento"].select("cdcondicaopagamento", "dscondicaopagamento")
-    rows = p.join(f, "cdcondicaopagamento", "left")
+    z = src["localentrega"].select("cdlocalentrega", F.concat("dslocalentrega", F.lit(" - Compl.: "), "dscomplemento").alias("_place"))
+    rows = p.join(f, "cdcondicaopagamento", "left").join(z, "cdlocalentrega", "left")
     nrproc = F.coalesce(F.col("nrprocesso"), F.lit(0))
     has_process = nrproc != 0
     proclic = F.concat(keep_right(nrproc, 6), F.lit("/"), (F.coalesce(F.col("dtanoprocesso"), F.lit(0)) % 2000).cast("string"))
@@ -65,7 +66,7 @@ def quotation_headers(src: Legacy, ctx: MigrationContext) -> DataFrame:
         F.when(has_process, numlic).alias("numlic"),
         F.lit("N").alias("registropreco"),
         cut("dscondicaopagamento", 30).alias("condpgto"),
-        F.lit("").alias("local_entrega"),
+        F.coalesce("_place", F.lit("")).alias("local_entrega"),
     )
 
 
@@ -182,7 +183,7 @@ def quotation_item_prices(src: Legacy, ctx: MigrationContext) -> DataFrame:
 
 # --- oracles ---------------------------------------------------------------------------------------
 
-_Q_TABLES = ["processopesquisa", "itempesquisa", "orgaopesquisa", "condicaopagamento", "propostapesquisa", "fornecedor"]
+_Q_TABLES = ["localentrega", "processopesquisa", "itempesquisa", "orgaopesquisa", "condicaopagamento", "propostapesquisa", "fornecedor"]
 
 
 def _o_txt(e: str) -> str:
@@ -207,7 +208,8 @@ def _oracle_ctes(ctx: MigrationContext) -> list[tuple[str, str]]:
         + " || '/' || cast(coalesce(dtanoprocesso, 0) % 2000 as varchar) end proclic, "
         "case when coalesce(nrprocesso, 0) <> 0 then cast(coalesce(nrprocesso, 0) as varchar) || "
         + _o_txt("dtanoprocesso % 2000") + " end numlic, 'N' registropreco, substring(dscondicaopagamento, 1, 30) condpgto, "
-        "'' local_entrega from processopesquisa p left join condicaopagamento f using (cdcondicaopagamento)")
+        "coalesce(dslocalentrega || ' - Compl.: ' || dscomplemento, '') local_entrega from processopesquisa p "
+        "left join condicaopagamento f using (cdcondicaopagamento) left join localentrega using (cdlocalentrega)")
     qr = ("select p.nrpesquisa, p.dtanopesquisa, i.lote, i.nritem, i.cdmaterial, i.qtitempesquisa, o.cdorgaoreduzido, "
           "(select max(c.lote) from itempesquisa c where c.dtanopesquisa = p.dtanopesquisa and c.nrpesquisa = "
           "p.nrpesquisa) qtdlote from processopesquisa p left join itempesquisa i on i.dtanopesquisa = p.dtanopesquisa "

@@ -49,16 +49,26 @@ ADAPTERS: dict[str, str] = {
     "fornecedor": (
         "select s_suppkey + 1 cdfornecedor, upper(s_name) nmfornecedor, s_name nmfantasia, cast(case s_suppkey % 4 when "
         "0 then 10000000000 when 1 then 1000000000 when 2 then 10000000000000 else 100000000000 end + s_suppkey * 97 as "
-        "decimal(14,0)) nrcgccpf, case when s_suppkey % 2 = 0 then 'J' else 'F' end inpessoafisicajuridica from "
-        "supplier"
+        "decimal(14,0)) nrcgccpf, case when s_suppkey % 2 = 0 then 'J' else 'F' end inpessoafisicajuridica, "
+        "case when s_suppkey % 3 = 0 then concat('IE', cast(s_suppkey as string)) end nrinscricaoestadual, "
+        "case when s_suppkey % 5 <> 0 then concat('IM', cast(s_suppkey as string)) end nrinscricaomunicipal from supplier"
     ),
     "enderecofornecedor": (
         "select s_suppkey + 1 cdfornecedor, 1 cdpais, n_regionkey cduf, s_nationkey cdmunicipio, concat('RUA ', "
-        "cast(s_suppkey as string)) dsendereco, cast(null as string) dscomplementologradouro from supplier join nation "
+        "cast(s_suppkey as string)) dsendereco, cast(null as string) dscomplementologradouro, lpad(cast(s_suppkey % 100000 as string), 8, '1') cdcep, "
+        "s_suppkey % 3 cdlogradouro from supplier join nation "
         "on s_nationkey = n_nationkey where s_suppkey % 7 <> 0 union all select s_suppkey + 1, 1, r_regionkey, 99, "
-        "concat('AVENIDA ', cast(s_suppkey as string)), 'FUNDOS' from supplier cross join region where s_suppkey % 5 = "
+        "concat('AVENIDA ', cast(s_suppkey as string)), 'FUNDOS', cast(null as string), cast(null as bigint) from supplier cross join region where s_suppkey % 5 = "
         "0 and r_regionkey = 0"
     ),
+    "logradouro": (
+        "select 1 cdpais, n_regionkey cduf, n_nationkey cdmunicipio, r_regionkey cdlogradouro, concat('LOGRADOURO ', r_name, ' DE ', n_name) "
+        "nmlogradouro from nation cross join region"
+    ),
+    "desorc": (
+        "select lpad(cast(r_regionkey + 1 as string), 2, '0') poder, '01' orgao, lpad(cast(r_regionkey % 2 + 1 as string), 2, '0') unidade, "
+        "r_regionkey % 2 + 1 empresa from region"
+    ),
     "municipio": (
         "select 1 cdpais, n_regionkey cduf, n_nationkey cdmunicipio, n_name nmmunicipio from nation"
     ),
@@ -73,7 +83,20 @@ ADAPTERS: dict[str, str] = {
         "select s_suppkey + 1000 codif, case when s_suppkey % 3 = 0 then cast(cast(case s_suppkey % 4 when 0 then "
         "10000000000 when 1 then 1000000000 when 2 then 10000000000000 else 100000000000 end + s_suppkey * 97 as "
         "decimal(14,0)) as string) end audesp_numero, case when s_suppkey % 3 = 1 then upper(s_name) else 'OUTRO' end "
-        "nome from supplier where s_suppkey % 3 < 2"
+        "nome, case when s_suppkey % 15 <> 4 then concat('DOC ', cast(s_suppkey as string)) end insmf, "
+        "case when s_suppkey % 2 = 0 then 'CONTABIL' end modulo, cast(s_suppkey + 5 as string) codant from supplier where s_suppkey % 3 < 2 "
+        # what an earlier load of the purchasing module has left
+        "union all select s_suppkey + 50000000, null, upper(s_name), 'DOC', 'COMPRAS', cast(s_suppkey + 1 as string) from supplier"
+    ),
+    "requi_existing": (
+        "select 1 empresa, s_suppkey + 1 id_requi, case s_suppkey % 4 when 0 then '00000/97' when 1 then concat(lpad(cast(s_suppkey % 90000 as string), 5, '0'), "
+        "'/98') end requi, lpad(cast(s_suppkey % 90000 as string), 5, '0') num, 1997 ano, cast(s_nationkey as bigint) docum from supplier"
+    ),
+    "icadreq_existing": (
+        "select 1 empresa, s_suppkey + 1 id_requi, case s_suppkey % 4 when 0 then '00000/97' when 1 then concat(lpad(cast(s_suppkey % 90000 as string), 5, '0'), "
+        "'/98') end requi, cast(part.n as bigint) item, concat('001.000.', lpad(cast(s_nationkey as string), 3, '0')) cadpro, "
+        "cast(s_nationkey + part.n as double) quan1, case when s_suppkey % 8 = 3 and part.n = 1 then concat('AAA', cast(s_suppkey as string)) end placa "
+        "from supplier join (select 1 n union all select 2) part on part.n <= s_suppkey % 2 + 1"
     ),
     "orgao": (
         "select n_nationkey cdorgaoreduzido, n_name naorgao, concat('ORGAO ', n_name) nmorgao, 1998 dtano from nation union all "
@@ -84,7 +107,7 @@ ADAPTERS: dict[str, str] = {
         "null else o_orderkey % 5000 end nrprocesso, case when o_orderkey % 6 = 0 then null else cast(year(o_orderdate) "
         "as int) end dtanoprocesso, lower(o_orderpriority) dspesquisa, o_orderdate dtexpedicao, case when o_orderkey % "
         "4 = 0 then null else upper(o_orderpriority) end justificativa_contratacao, cast(substring(o_orderpriority,1,1) "
-        "as int) cdcondicaopagamento from orders"
+        "as int) cdcondicaopagamento, case when o_custkey % 30 < 28 then o_custkey % 30 end cdlocalentrega from orders"
     ),
     "itempesquisa": (
         "select l_orderkey nrpesquisa, cast(year(o_orderdate) as int) dtanopesquisa, l_linenumber % 2 + 1 lote, "
@@ -200,7 +223,8 @@ ADAPTERS: dict[str, str] = {
         "group by cast(year(o_orderdate) as int)) first_order on first_order.y = cast(year(o_orderdate) as int)"
     ),
     "localentrega": (
-        "select n_nationkey cdlocalentrega, concat('ENTREGA EM ', n_name) dslocalentrega from nation"
+        "select n_nationkey cdlocalentrega, concat('ENTREGA EM ', n_name) dslocalentrega, "
+        "case when n_nationkey % 4 <> 1 then concat('PORTAO ', cast(n_nationkey as string)) end dscomplemento from nation"
     ),
     "almox_movimento": (
         "select row_number() over (order by l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, "
@@ -209,9 +233,10 @@ ADAPTERS: dict[str, str] = {
         "'RF' then 2 when 'AF' then 9 else 12 end cdoperacao, cast(case when concat(l_returnflag,l_linestatus) in "
         "('RO','AO','NF') then l_quantity else 0 end as decimal(18,5)) qtdeentrada, cast(case when "
         "concat(l_returnflag,l_linestatus) in ('NO','RF','AF') then l_quantity / 2 else 0 end as decimal(18,5)) "
-        "qtdesaida, cast(floor(l_extendedprice / l_quantity * 100) / 100 as decimal(18,5)) vlcustoitem, "
+        "qtdesaida, case when l_partkey % 53 = 11 then null else cast(floor(l_extendedprice / l_quantity * 100) / 100 as decimal(18,5)) end vlcustoitem, "
         "cast(l_extendedprice as decimal(18,5)) sldvalor, case when l_suppkey % 10 = 0 then 0 else l_suppkey + 1 end "
-        "cdfornecedor from lineitem"
+        "cdfornecedor, cast(l_suppkey % 25 as int) cdorgaoreduzido, case when l_tax > 0 then l_orderkey end nrnota, "
+        "case when l_tax > 0 then cast(l_linenumber as string) end nrserie from lineitem"
     ),
     "frotas_veiculo": (
         "select c_custkey cdveiculo, case when c_custkey % 25 = 0 then '' else concat('AB', chr(65 + cast(c_custkey % "
@@ -228,7 +253,7 @@ ADAPTERS: dict[str, str] = {
     "movtoveiculo": (
         "select event_id nrsequencia, user_id cdveiculo, cast(ts as date) dtmovimento, event_id % 200 cditemmaterial, "
         "cast(value as decimal(18,5)) vlvalor, cast(event_id % 60 as decimal(18,5)) qtmovimentada, user_id % 100 + 1 "
-        "cdfornecedormotorista from events"
+        "cdfornecedormotorista, event_id % 1000 nrnfdepartamento, event_id % 200000 nrmarcador from events"
     ),
     "patri_item": (
         "select p_partkey cditem, case when p_partkey % 6 = 0 then '' else cast(p_partkey as string) end nrplaca, "

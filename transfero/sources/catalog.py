@@ -159,6 +159,7 @@ class Legacy(Catalog):
 
 
 def base_tables(name: str) -> list[str]:
+    name = {"almox_movimento_linhas": "almox_movimento"}.get(name, name)
     return [b for b in BASE_TABLES if re.search(rf"\b{b}\b", ADAPTERS[name])]
 
 
@@ -187,38 +188,24 @@ def view(fn):
     return wrapper
 
 
+def _movement_lines(src: Legacy) -> DataFrame:
+    """Warehouse movements without their running number: the adapter's columns, and the keys it numbers them by."""
+    text = ADAPTERS["almox_movimento"]
+    columns = text[text.index("l_partkey cdmaterial"):text.rindex(" from lineitem")]
+    keys = ", ".join(f"{c} _k_{c}" for c in _MOVEMENT_ORDER)
+    return src.spark.sql(f"select {columns}, {keys} from {{lineitem}}", lineitem=src.base("lineitem"))
+
+
+_MOVEMENT_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
 def _almox_movimento(src: Legacy) -> DataFrame:
     """Warehouse ledger: the adapter numbers all lineitems with one unpartitioned window, which
     runs in a single task. Here the same numbers come from the distributed global numbering."""
     from ..operators.numbering import global_number
 
-    li = src.base("lineitem")
-    flag = F.concat(F.col("l_returnflag"), F.col("l_linestatus"))
-    op = (F.when(flag == "RO", 7).when(flag == "AO", 8).when(flag == "NO", 1)
-          .when(flag == "RF", 2).when(flag == "AF", 9).otherwise(12))
-    rows = li.select(
-        F.col("l_partkey").alias("cdmaterial"),
-        F.col("l_shipdate").alias("dtmovimento"),
-        F.col("l_orderkey").alias("nrdocumento"),
-        op.alias("cdoperacao"),
-        F.when(flag.isin("RO", "AO", "NF"), F.col("l_quantity")).otherwise(F.lit(0))
-        .cast("decimal(18,5)").alias("qtdeentrada"),
-        F.when(flag.isin("NO", "RF", "AF"), F.col("l_quantity") / 2).otherwise(F.lit(0))
-        .cast("decimal(18,5)").alias("qtdesaida"),
-        (F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100) / 100)
-        .cast("decimal(18,5)").alias("vlcustoitem"),
-        F.col("l_extendedprice").cast("decimal(18,5)").alias("sldvalor"),
-        F.when(F.col("l_suppkey") % 10 == 0, F.lit(0)).otherwise(F.col("l_suppkey") + 1).alias("cdfornecedor"),
-        *[F.col(c).alias(f"_k_{c}") for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
-                                               "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
-                                               "l_tax")],
-    )
-    order = [F.col(f"_k_{c}").asc_nulls_first() for c in ("l_shipdate", "l_orderkey", "l_linenumber",
-                                                          "l_partkey", "l_suppkey", "l_quantity",
-                                                          "l_extendedprice", "l_discount", "l_tax")]
-    numbered = global_number(rows, order, "nrlancamento")
-    return numbered.select("nrlancamento", "cdmaterial", "dtmovimento", "nrdocumento", "cdoperacao",
-                           "qtdeentrada", "qtdesaida", "vlcustoitem", "sldvalor", "cdfornecedor")
+    keys = [f"_k_{c}" for c in _MOVEMENT_ORDER]
+    return global_number(_movement_lines(src), keys, "nrlancamento").drop(*keys)
 
 
 def _earlier_registry(history: bool) -> Callable[[Legacy], DataFrame]:
@@ -230,6 +217,7 @@ def _earlier_registry(history: bool) -> Callable[[Legacy], DataFrame]:
 
 _SPARK_BUILDERS: dict[str, Callable[[Legacy], DataFrame]] = {
     "almox_movimento": _almox_movimento,
+    "almox_movimento_linhas": lambda src: _movement_lines(src).drop(*[f"_k_{c}" for c in _MOVEMENT_ORDER]),
     "regpreco_existing": _earlier_registry(False),
     "regprecohis_existing": _earlier_registry(True),
 }

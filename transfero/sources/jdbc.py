@@ -31,6 +31,8 @@ LEGACY_TABLES: dict[str, tuple[str, str]] = {
     "unidadefederacao": ("ALMOX", "unidadefederacao"),
     "contacorrentefornecedor": ("ALMOX", "contacorrentefornecedor"),
     "almox_movimento": ("ALMOX", "movimento"),
+    "almox_movimento_linhas": ("ALMOX", "movimento"),
+    "logradouro": ("ALMOX", "logradouro"),
     "integrainstrumentopedido": ("ALMOX", "INTEGRAINSTRUMENTOPEDIDO"),
     "orgao": ("COMPRAS", "ORGAO"),
     "processopesquisa": ("COMPRAS", "processopesquisa"),

@@ -7,25 +7,19 @@ from pyspark.sql import functions as F
 
 from transfero.context import MigrationContext
 from transfero.plans import assets, quotation, suppliers
+from transfero.sources.catalog import Catalog
 
 
-class FakeLegacy:
-    """Catalog over hand-made DataFrames, with the same memo as the real one."""
+class FakeLegacy(Catalog):
+    """Catalog over hand-made DataFrames."""
 
     def __init__(self, tables):
+        super().__init__(None)
         self.tables = tables
-        self._memo = {}
 
-    def table(self, name):
+    def read(self, name):
         return self.tables[name]
 
-    __getitem__ = table
-
-    def memo(self, key, build):
-        if key not in self._memo:
-            self._memo[key] = build()
-        return self._memo[key]
-
 
 CTX = MigrationContext()
 T = dt.datetime
@@ -35,7 +29,7 @@ def test_identical_depreciation_rows_collapse(spark):
     # Two identical depreciation rows become one ledger row (the final UNION removes duplicates).
     mov = spark.createDataFrame([], "cditem bigint, dtmovimento timestamp_ntz, intipomovimento string, "
                                     "vlareavaliar decimal(18,5), vlanterior decimal(18,5), cdlocalanterior int, "
-                                    "cdlocalatual int, inestorno int, cdtpbaixa int, chmovimento bigint")
+                                    "cdlocalatual int, inestorno int, cdtpbaixa int, chmovimento bigint, cdmotivo int, dsobservacao string, dsfundamento string")
     dep = spark.createDataFrame(
         [(1, T(2000, 1, 1), Decimal("5"), 0, None), (1, T(2000, 1, 1), Decimal("5"), 0, None),
          (2, T(2000, 1, 1), Decimal("7"), 0, None), (2, T(2000, 2, 1), Decimal("7"), -1, T(2000, 1, 1))],
@@ -43,7 +37,7 @@ def test_identical_depreciation_rows_collapse(spark):
     comp = spark.createDataFrame([], "cditem bigint, dtmovimento timestamp_ntz, vlcomplementar decimal(18,5), inestorno int")
     item = spark.createDataFrame([(1,), (2,)], "cditem bigint")
     src = FakeLegacy({"patri_movimento": mov, "movimentodepreciacao": dep, "movimentovlcomplementar": comp,
-                      "patri_item": item})
+                      "patri_item": item, "motivo": spark.createDataFrame([], "cdmotivo int, dsmotivo string")})
     rows = assets._ledger_source(src).collect()
     # item 1: duplicates collapse; item 2: cancelled by its reversal (same item, date and value).
     assert [(r["cditem"], r["valor"]) for r in rows] == [(1, Decimal("-5.00000"))]
@@ -51,21 +45,24 @@ def test_identical_depreciation_rows_collapse(spark):
 
 def test_shared_existing_supplier_takes_last_legacy_id(spark):
     # Two legacy suppliers match the same existing supplier by name: the larger legacy id wins.
-    forn = spark.createDataFrame([(10, "ACME", "A", Decimal("123"), "J"), (11, "ACME", "B", Decimal("456"), "J")],
+    forn = spark.createDataFrame([(10, "ACME", "A", Decimal("123"), "J", None, None), (11, "ACME", "B", Decimal("456"), "J", None, None)],
                                  "cdfornecedor bigint, nmfornecedor string, nmfantasia string, nrcgccpf decimal(14,0), "
-                                 "inpessoafisicajuridica string")
+                                 "inpessoafisicajuridica string, nrinscricaoestadual string, nrinscricaomunicipal string")
     empty_end = spark.createDataFrame([], "cdfornecedor bigint, cdpais int, cduf int, cdmunicipio int, "
-                                          "dsendereco string, dscomplementologradouro string")
+                                          "dsendereco string, dscomplementologradouro string, cdcep string, cdlogradouro int")
     src = FakeLegacy({
         "fornecedor": forn, "enderecofornecedor": empty_end,
         "municipio": spark.createDataFrame([], "cdpais int, cduf int, cdmunicipio int, nmmunicipio string"),
         "unidadefederacao": spark.createDataFrame([], "cdpais int, cduf int, sguf string"),
         "contacorrentefornecedor": spark.createDataFrame([], "cdfornecedor bigint, cdbanco bigint, cdagencia bigint, "
                                                              "cdcontacorrente bigint"),
-        "desfor_existing": spark.createDataFrame([(500, None, "ACME")], "codif bigint, audesp_numero string, nome string"),
+        "logradouro": spark.createDataFrame([], "cdpais int, cduf int, cdmunicipio int, cdlogradouro int, nmlogradouro string"),
+        # an earlier load's row of the module is replaced, and one without a document is not matched
+        "desfor_existing": spark.createDataFrame([(500, None, "ACME", "DOC", None), (400, None, "ACME", "DOC", "COMPRAS"), (300, None, "ACME", None, "X")],
+                                                 "codif bigint, audesp_numero string, nome string, insmf string, modulo string"),
     })
     m = suppliers.supplier_matches(src, CTX).collect()
-    assert [(r["codif"], r["codant"]) for r in m] == [(500, "11")]
+    assert sorted((r["codif"], r["codant"]) for r in m) == [(300, None), (500, "11")]
     assert suppliers.supplier_inserts(src, CTX).count() == 0
 
 

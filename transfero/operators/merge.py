@@ -57,11 +57,6 @@ def insert_absent(target: DataFrame, new: DataFrame, on: Sequence[str]) -> DataF
     return target.unionByName(rows_absent(target, new, on), allowMissingColumns=True)
 
 
-def replace_where(target: DataFrame, new: DataFrame, predicate: Column) -> DataFrame:
-    """``DELETE FROM t WHERE p`` followed by an append of ``new`` (NULL predicate keeps the row)."""
-    return delete_where(target, predicate).unionByName(new, allowMissingColumns=True)
-
-
 def delete_where(target: DataFrame, predicate: Column) -> DataFrame:
     """``DELETE FROM t WHERE p``; a row for which ``p`` is NULL stays."""
     return target.filter(~F.coalesce(predicate, F.lit(False)))

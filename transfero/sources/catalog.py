@@ -25,6 +25,15 @@ from .target import Snapshot
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+def _blank(result: object) -> object:
+    """A step's result without rows and without the plan behind it, so that planning takes no longer with depth."""
+    if isinstance(result, Split):
+        return Split(_blank(result.tagged), *result.only_rejected)
+    if isinstance(result, tuple):
+        return tuple(map(_blank, result))
+    return result.sparkSession.createDataFrame([], result.schema) if isinstance(result, DataFrame) else result
+
+
 class Catalog:
     """What jobs read: legacy tables, tables already in the target, and steps derived from them.
 
@@ -54,7 +63,8 @@ class Catalog:
         self._note(node)
         if name not in self._cache:
             with self.inside(node):
-                self._cache[name] = self.read(name)
+                df = self.read(name)
+            self._cache[name] = _blank(df) if is_planning() else df
         return self._cache[name]
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -88,7 +98,9 @@ class Catalog:
         if key not in self._memo:
             with self.inside(key):
                 result = build()
-            if (store or key in self.shared) and not is_planning():
+            if is_planning():
+                result = _blank(result)
+            elif store or key in self.shared:
                 result = self._store(key, result)
             self._memo[key] = result
         return self._memo[key]

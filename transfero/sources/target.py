@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,8 +30,8 @@ class Snapshot:
 
     def table(self, name: str, without: tuple[str, ...] = ()) -> DataFrame | None:
         """All rows of a table (or of its segments but those in ``without``); None when the version has none."""
-        paths = [p for s, p in self.tables.get(name, {}).items() if s not in without]
-        return self.spark.read.parquet(*paths) if paths else None
+        parts = [self.spark.read.parquet(p) for s, p in self.tables.get(name, {}).items() if s not in without]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
 
 
 @dataclass

@@ -150,13 +150,13 @@ def test_mixing(spark, edge_docs, no_docs):
         assert sorted(key((r.doc_id, r.taken)) for r in got) == sorted(key((r.doc_id, r.taken)) for r in again)
         out = mixture(docs)
         assert out.columns == docs.columns
-        n = Counter()
-        for r in out.collect():
-            n[r.doc_id] += len(words(r.text))
-        m = Counter()
-        for r in got:
-            m[r.doc_id] += r.taken
-        assert n == Counter({k: v for k, v in m.items() if v})
+        # every row comes whole, as often as its words are taken, rounded
+        n, m = Counter((r.doc_id, r.text) for r in out.collect()), Counter()
+        texts = Counter((r.doc_id, r.text) for r in rows)
+        times = {(r.doc_id, r.size): int(r.taken / r.size + 0.5) for r in got if r.size}
+        for (doc_id, t), k in texts.items():
+            m[doc_id, t] += k * times.get((doc_id, len(words(t))), 0)
+        assert n == +m and any("\n" in t for _, t in n if docs is edge_docs) == (docs is edge_docs)
     assert mix(no_docs).collect() == [] and mixture(no_docs).collect() == []
 
 
@@ -183,6 +183,46 @@ def test_quality(spark, edge_docs, no_docs):
     bad = [(100, " ".join(f"%{w}|#" for w in prose(70, 200).split()), "en"), (101, prose(71, 200).upper(), "en"), (102, "zq xw " + " ".join(f"vk{i}" for i in range(200)), "en")]
     kept = {r.doc_id: r.kept for r in quality(spark.createDataFrame(good + bad, "doc_id long, text string, lang string")).collect()}
     assert all(kept[i] for i in range(60)) and not any(kept[i] for i in (100, 101, 102))
+    # junk is no reference, neither for its own language nor for texts without one
+    junk = [(200, bad[0][1], "xx"), (201, bad[0][1], None), (202, prose(72, 200), "yy"), (203, prose(73, 200), None)]
+    kept = {r.doc_id: r.kept for r in quality(spark.createDataFrame(good + junk, "doc_id long, text string, lang string")).collect()}
+    assert all(kept[i] for i in [*range(60), 202, 203]) and not any(kept[i] for i in (200, 201))
+
+
+def test_quality_distances(spark):
+    """Both distances against the formulas in plain Python."""
+    import math
+    import re
+    from transfero.llm import op04_quality as op
+    docs = [(i, prose(i, 60 + i), "en" if i % 2 else "de") for i in range(60)] + [(90, prose(5, 100).upper() + " 123 45, (x) — ¿", "en")]
+    got = {r.doc_id: r for r in op.quality(spark.createDataFrame(docs, "doc_id long, text string, lang string"), min_reference=1).collect()}
+
+    def classes(text):
+        import unicodedata
+        out = [0] * 6
+        for c in text:
+            kind = unicodedata.category(c)
+            out[0 if kind == "Ll" else 1 if kind == "Lu" else 2 if kind[0] == "L" else 3 if kind[0] == "N" else 4 if c in ".,;:!?'\"()-" else 5] += not c.isspace()
+        return [*out, len(text) - sum(out)]
+
+    def js(p, q):
+        half = lambda a, b: sum(0.5 * x * math.log2(2 * x / (x + y)) for x, y in zip(a, b) if x > 0)
+        return math.sqrt(max(0.0, half(p, q) + half(q, p)))
+
+    for lang in ("en", "de"):
+        texts = [t for _, t, x in docs if x == lang]
+        sums = [sum(x) for x in zip(*map(classes, texts))]
+        reference = [x / sum(sums) for x in sums]
+        counts = Counter(w.lower() for t in texts for w in t.split(" ") if len(w) <= 4 and re.fullmatch(r"[^\W\d_]+", w))
+        top = [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:40]]
+        total = sum(len(t.split(" ")) for t in texts)
+        shares = [counts[w] / total for w in top]
+        for doc_id, text, x in docs:
+            if x == lang:
+                own, length, n = classes(text), len(text), len(text.split(" "))
+                p = [sum(w.lower() == r for w in text.split(" ") if len(w) <= 4) / n for r in top]
+                assert abs(got[doc_id].char_distance - js([c / length for c in own], reference)) < 1e-6
+                assert abs(got[doc_id].word_distance - js([*p, 1 - sum(p)], [*shares, 1 - sum(shares)])) < 1e-6
 
 
 def test_quality_without_a_language(spark, monkeypatch):
@@ -374,6 +414,24 @@ def test_toxicity(spark, edge_docs, no_docs):
     assert {x.score for x in toxicity(edge_docs, none).collect()} == {0.0} and toxicity(no_docs, model).collect() == []
 
 
+def test_every_language_is_learned(spark):
+    from transfero.llm.op10_language import fit, identify
+    r = random.Random(8)
+    docs, n = [], 300
+    for lang in range(n):  # a frequent one and 299 rare ones, each with syllables of its own
+        parts = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(6)]
+        for k in range(900 if lang == 7 else 6):
+            docs.append((len(docs), " ".join(r.choice(parts) for _ in range(120)), f"l{lang:03}"))
+    docs += [docs[-1]] * 50
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    langs, matrix = fit(d)
+    seen = {lang for i, _, lang in docs if zlib.crc32(str(i).encode()) % 5}
+    assert langs == sorted(seen) and len(seen) >= 295 and matrix.shape[1] == len(seen)
+    got = {x.doc_id: x.lang_pred for x in identify(d.select("doc_id", "text"), (langs, matrix)).collect()}
+    held = [(i, lang) for i, _, lang in docs if zlib.crc32(str(i).encode()) % 5 == 0 and lang in seen]
+    assert sum(got[i] == lang for i, lang in held) >= 0.97 * len(held)
+
+
 def test_language(spark, edge_docs, no_docs):
     from transfero.llm.op10_language import fit, identify, known_language
     r = random.Random(6)

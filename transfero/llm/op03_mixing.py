@@ -113,25 +113,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) ->
 
 
 def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: each row as often as it is taken.
+    """The mix itself, with the columns of ``docs``: each row, always whole, as often as its words are taken.
 
-    A row taken ``taken = q * size + r`` words comes q times whole and, if r > 0, once more with its
-    first r words (only rows at a source's threshold are cut). Rows without words are not taken.
-    Rows are found by id and text, so repeated rows are taken alike.
+    A row of which ``taken`` words are taken comes ``taken / size`` times, rounded; only rows at a source's threshold
+    are taken in part, so a source misses its target by half a text, times the rows that tie there. Rows without
+    words are not taken. Rows are found by id and text, so repeated rows are taken alike.
     """
     taken = mix(docs, weights, cap).filter("taken > 0")
     # equal (doc_id, size) rows of one source share their count; one row per key keeps the join from multiplying
     plan = taken.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("h").alias("_h")).agg(F.max("taken").alias("_taken"))
+    plan = plan.withColumn("_copies", F.round(F.col("_taken") / F.col("_size")).cast("int")).filter("_copies > 0")
     keyed = docs.withColumn("_h0", F.xxhash64("doc_id", "text"))
     found = keyed.join(plan, keyed["doc_id"].eqNullSafe(plan["_id"]) & keyed["source"].eqNullSafe(plan["_source"]) & (keyed["_h0"] == plan["_h"]))
-    copies = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int"))))
-    part = F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")
-    cut = F.when(part < F.col("_size"), F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, part.cast("int")), " ")).otherwise(F.col("text"))
-    out = copies.withColumn("_text", cut)
-    columns = {"text": F.col("_text")}
-    if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(part < F.col("_size"), F.length("_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return out.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    copies = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,8 @@ linear in the presence vectors, so landmarks and coefficients fold into one matr
 presence matrix times that matrix, batch by batch over all blocks of the whole text; a text's score is
 the mean over its blocks, weighted by their letters.
 
-Fitting uses a bounded sample: about ``SAMPLE`` documents in all, equally many per language (the
-``max_langs`` most frequent languages), at most three blocks each. Every document is scored.
+Fitting uses a bounded sample of labelled rows: ``SAMPLE`` documents in all, equally many per language but
+``LEAST`` of each, at most three blocks each. Every language is learned and every document is scored.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is every text if
 nothing was learned; ties go to the language first in code-point order; repeated rows give repeated
@@ -23,13 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import fold, map_arrow, pieces, store, table
 
 BLOCK, DIMS, ORDERS = 2000, 1 << 14, 4
-LANDMARKS, SAMPLE, RIDGE = 200, 1500, 1e-2
+LANDMARKS, SAMPLE, LEAST, RIDGE = 200, 1500, 8, 1e-2
 UNKNOWN = "und"
 
 
@@ -78,22 +78,29 @@ def _normal(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.sqrt(np.maximum(matrix.sum(1, keepdims=True), 1))
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, max_langs: int = 200) -> tuple[list[str], np.ndarray]:
-    """(languages, matrix DIMS x languages) learned from rows of ``docs`` outside fold 0."""
+def fit(docs: DataFrame, sample: int = SAMPLE, least: int = LEAST) -> tuple[list[str], np.ndarray]:
+    """(languages, matrix DIMS x languages) learned from rows of ``docs`` outside fold 0.
+
+    Every language of these rows is learned, from ``sample`` rows divided by the number of languages, but ``least``
+    rows of each (all, if it has fewer): the rows with the smallest hashes among about twice as many.
+    """
     rows = docs.filter((fold() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()}
-    langs = sorted(counts)
-    if not langs:
+    h, full = F.xxhash64("doc_id", "text"), float(1 << 64)
+    counts = rows.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_n"), F.min(h).alias("_least"))
+    counts = store(docs.sparkSession, counts, "language-counts")
+    n_langs = counts.count()
+    if not n_langs:
         return [], np.zeros((DIMS, 0), np.float32)
-    each = max(8, sample // len(langs))
-    limit = F.lit(None).cast("long")
-    for lang, n in counts.items():
-        limit = F.when(F.col("lang") == lang, F.lit(-(1 << 63) + min((1 << 64) - 1, int((1 << 64) * min(1.0, each / n))))).otherwise(limit)
+    each = max(least, sample // n_langs)
+    # the share of the hash range that 2 * each rows of the language fill; all of it for languages that are not larger
+    limit = F.when(F.col("_n") <= 2 * each, F.lit((1 << 63) - 1)).otherwise((F.lit(-(1 << 63)) + F.lit(2 * each * full) / F.col("_n")).cast("long"))
+    limit = F.greatest(limit, F.col("_least"))  # at least one row of each, however many copies the others are
+    near = rows.select("lang", "doc_id", "text", h.alias("h")).join(counts.select("_lang", limit.alias("limit")), F.col("lang") == F.col("_lang")).filter("h <= limit").dropDuplicates(["lang", "h"])
+    first = near.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "text"))).filter(F.col("r") <= each)
     # three blocks spread over the text; shorter texts give what they have
     spread = F.expr(f"transform(array(0.0, 0.5, 1.0), x -> substring(text, cast(1 + x * greatest(length(text) - {BLOCK}, 0) as int), {BLOCK}))")
-    chosen = (rows.filter(F.xxhash64("doc_id") <= limit).limit(2 * sample)
-              .select("lang", "doc_id", F.explode(F.array_distinct(spread)).alias("block")))
-    got = sorted((r["lang"], r["doc_id"], r["block"]) for r in chosen.collect())
+    chosen = first.select("lang", "doc_id", F.explode(F.array_distinct(spread)).alias("block"))
+    got = sorted((r["lang"], -1 if r["doc_id"] is None else r["doc_id"], r["block"]) for r in chosen.collect())
     got = [g for g in got if any(map(str.isalpha, g[2]))]
     if not got:
         return [], np.zeros((DIMS, 0), np.float32)

@@ -389,6 +389,62 @@ def test_secrets(spark, edge_docs, no_docs):
     assert redact(no_docs).collect() == []
 
 
+def test_markov_spans(spark):
+    """Every Markov span, and the redacted text, against plain Python; texts with more spans than a fold's part."""
+    from pyspark.sql import functions as F
+    from transfero.llm.op08_secrets import THRESHOLD, redact, secrets
+    r = random.Random(9)
+    model = [round(r.uniform(-3, 4), 4) for _ in range(16384)]
+    token = lambda n, letters: "".join(r.choice(letters) for _ in range(n))
+    base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+    texts = ["", "x", " ".join(token(r.randrange(10, 40), r.choice([base62, "0123456789abcdef"])) for _ in range(900))]
+    texts += [" ".join(r.choice([f"password={token(30, base62)}", token(40, "0123456789abcdef"), "AKIA" + token(20, "ABC123"), f"é{token(24, base62)}", "plain words"])
+                       for _ in range(400)) for _ in range(3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {x.doc_id: ([tuple(s) for s in x.base], [tuple(s) for s in x.all]) for x in secrets(docs, model).select(
+        "doc_id", F.col("_base").alias("base"), F.col("_all").alias("all")).collect()}
+    clean = {x.doc_id: x.text for x in redact(docs, model=model).collect()}
+    added = 0
+    for i, t in enumerate(texts):
+        base, everything = rows[i]
+        want = list(base)
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", t):
+            c = [min(ord(x), 127) for x in m[0]]
+            mean = sum(model[x * 128 + y] for x, y in zip(c, c[1:])) / (len(c) - 1)
+            if abs(mean - THRESHOLD) < 1e-6:
+                continue
+            if mean > THRESHOLD and not any(a < m.end() and m.start() < b for a, _, b in base):
+                want.append((m.start(), 3, m.end()))
+        assert everything == sorted(want)
+        added += len(want) - len(base)
+        out, at = [], 0
+        for a, _, b in everything:
+            if a >= at:
+                out += [t[at:a], "[SECRET]"]
+            at = max(at, b)
+        assert clean[i] == "".join(out) + t[at:]
+    assert added > 100 and max(len(x) for _, x in rows.values()) > 400
+
+
+def test_secrets_of_long_texts_take_time_in_proportion(spark):
+    import time
+    from transfero.llm.op08_secrets import redact
+    r = random.Random(10)
+    text = lambda n: " ".join("".join(r.choice("0123456789abcdef") for _ in range(17)) for _ in range(n))
+    model = [0.0] * 16384
+
+    def took(n):
+        docs = spark.createDataFrame([(1, text(n))], "doc_id long, text string")
+        start = time.time()
+        (out,) = redact(docs, model=model).collect()
+        assert out.text == " ".join(["[SECRET]"] * n)
+        return time.time() - start
+
+    took(2000)
+    small, large = min(took(8000) for _ in range(2)), min(took(32000) for _ in range(2))
+    assert large < 8 * small + 1
+
+
 def test_toxicity(spark, edge_docs, no_docs):
     from transfero.llm.op09_toxicity import fit, toxicity
     r = random.Random(5)

@@ -33,6 +33,25 @@ MIN_TOKEN, THRESHOLD, SAMPLE, DRAW = 20, 0.8, 2000, 5.0
 #: Maximal runs that the models score.
 TOKEN = r"[A-Za-z0-9+/_=-]{%d,}" % MIN_TOKEN
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
+#: Spans that one step of a fold over a text's spans may hold.
+CHUNK = 128
+
+
+def in_chunks(values: Column, total, join, body, chunk: int = CHUNK) -> Column:
+    """``body(part, before)`` of every part of ``chunk`` values, where ``before`` joins the totals of the parts ahead.
+
+    A fold that appends to an array or a text copies what it has at every step; in parts it copies no more than a
+    part, and the totals ahead are one number a part.
+    """
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(F.size(values), F.lit(1)) - 1) / chunk).cast("int")),
+                        lambda c: F.slice(values, c * chunk + 1, F.lit(chunk)))
+
+    def each(parts: Column) -> Column:
+        before = F.aggregate(F.transform(parts, lambda part: total(part)), F.array(F.lit(0).cast("long")),
+                             lambda a, t: F.concat(a, F.array(join(F.element_at(a, F.lit(-1)), t))))
+        return let(before, lambda b: F.transform(parts, lambda part, i: body(part, F.get(b, i))))
+
+    return let(parts, lambda p: each(p))
 
 
 def matches(text: Column, pattern: str, kind: int, keep) -> Column:
@@ -40,14 +59,16 @@ def matches(text: Column, pattern: str, kind: int, keep) -> Column:
     def spans(found: Column) -> Column:
         gaps = F.split(text, pattern, -1)
         steps = F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).cast("long").alias("gap"), F.coalesce(F.length(m), F.lit(0)).cast("long").alias("len"), F.coalesce(keep(m), F.lit(False)).alias("ok")))
-        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("spans"))
 
         def add(a: Column, x: Column) -> Column:
             end = a["at"] + x["gap"] + x["len"]
             span = F.struct((a["at"] + x["gap"]).alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
             return F.struct(end.alias("at"), F.when(x["ok"], F.concat(a["spans"], F.array(span))).otherwise(a["spans"]).alias("spans"))
 
-        return F.when(F.exists(found, keep), F.aggregate(steps, start, add, lambda a: a["spans"])).otherwise(F.array().cast(SPAN))
+        placed = let(steps, lambda st: F.flatten(in_chunks(
+            st, lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, x: a + x["gap"] + x["len"]), lambda a, t: a + t,
+            lambda part, at: F.aggregate(part, F.struct(at.alias("at"), F.array().cast(SPAN).alias("spans")), add, lambda a: a["spans"]))))
+        return F.when(F.exists(found, keep), placed).otherwise(F.array().cast(SPAN))
 
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)
 
@@ -61,16 +82,51 @@ def pattern_spans(text: Column) -> Column:
         matches(text, r"[0-9a-f]{16,}", 2, lambda m: F.length(m) >= 16)))
 
 
+def _furthest(spans: Column) -> Column:
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: F.greatest(a, s["end"]))
+
+
 def without(text: Column, spans: Column, marker: str) -> Column:
-    """``text`` with every span of ``spans`` (sorted by start) replaced by ``marker``."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    """``text`` with every span of ``spans`` (sorted by start) replaced by ``marker``; a span that begins inside an
+    earlier one goes with it."""
+    def pieces(part: Column, at: Column) -> Column:
+        stop = F.greatest(at, _furthest(part))
+        own = F.substring(text, (at + 1).cast("int"), (stop - at).cast("int"))  # the part's own stretch of the text
+
+        def cut(own: Column) -> Column:
+            def add(a: Column, s: Column) -> Column:
+                gap = F.substring(own, (a["at"] - at + 1).cast("int"), F.greatest(s["start"] - a["at"], F.lit(0)).cast("int"))
+                return F.struct(F.greatest(a["at"], s["end"]).alias("at"),
+                                F.when(s["start"] >= a["at"], F.concat(a["out"], gap, F.lit(marker))).otherwise(a["out"]).alias("out"))
+            return F.aggregate(part, F.struct(at.alias("at"), F.lit("").alias("out")), add, lambda a: a["out"])
+
+        return let(own, lambda o: cut(o))
+
+    replaced = F.array_join(in_chunks(spans, _furthest, lambda a, t: F.greatest(a, t), pieces), "")
+    return F.concat(replaced, F.substring(text, (_furthest(spans) + 1).cast("int"), F.length(text)))
+
+
+def apart(spans: Column, others: Column) -> Column:
+    """``spans`` (disjoint) that overlap none of ``others``; both sorted by start.
+
+    In one order of the others' starts and the spans' ends, a span overlaps an earlier other if the furthest end so
+    far lies behind its start, and none of the later ones.
+    """
+    item = lambda at, span, low, high: F.struct(at.alias("at"), F.lit(span).alias("other"), low.alias("low"), high.alias("high"))
+    events = F.sort_array(F.concat(F.transform(spans, lambda s: item(s["end"], False, s["start"], s["end"])),
+                                   F.transform(others, lambda o: item(o["start"], True, o["start"], o["end"]))))
+    end = lambda a, e: F.when(e["other"], F.greatest(a, e["high"])).otherwise(a)
 
-    def add(a: Column, s: Column) -> Column:
-        gap = F.substring(text, (a["at"] + 1).cast("int"), F.greatest(s["start"] - a["at"], F.lit(0)).cast("int"))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"),
-                        F.when(s["start"] >= a["at"], F.concat(a["out"], gap, F.lit(marker))).otherwise(a["out"]).alias("out"))
+    def free(part: Column, before: Column) -> Column:
+        def add(a: Column, e: Column) -> Column:
+            keep = ~e["other"] & (a["end"] <= e["low"])
+            span = F.struct(e["low"].alias("start"), F.lit(KINDS.index("markov")).alias("kind"), e["high"].alias("end"))
+            return F.struct(end(a["end"], e).alias("end"), F.when(keep, F.concat(a["spans"], F.array(span))).otherwise(a["spans"]).alias("spans"))
+        return F.aggregate(part, F.struct(before.alias("end"), F.array().cast(SPAN).alias("spans")), add, lambda a: a["spans"])
 
-    return F.aggregate(spans, start, add, lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))))
+    total = lambda part: F.aggregate(part, F.lit(0).cast("long"), end)
+    merged = let(events, lambda ev: F.flatten(in_chunks(ev, total, lambda a, t: F.greatest(a, t), free)))
+    return F.when(F.size(spans) == 0, F.array().cast(SPAN)).when(F.size(others) == 0, spans).otherwise(merged)
 
 
 def pairs(token: Column) -> Column:
@@ -129,8 +185,7 @@ def secrets(docs: DataFrame, model: list[float] | None = None, threshold: float
     text = F.coalesce(F.col("text"), F.lit(""))
     base, markov = scan(text, model, threshold)
     found = docs.withColumn("_base", base).withColumn("_markov", markov)
-    apart = let(F.col("_base"), lambda b: F.filter("_markov", lambda s: ~F.exists(b, lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"]))))
-    return found.withColumn("_all", F.sort_array(F.concat("_base", apart))).drop("_markov")
+    return found.withColumn("_all", F.sort_array(F.concat("_base", apart(F.col("_markov"), F.col("_base"))))).drop("_markov")
 
 
 def joined(spans: Column) -> Column:

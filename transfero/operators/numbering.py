@@ -12,9 +12,8 @@ holds a large share of the data. The operators here number rows with range parti
 3. a running sum over the per-slice counts gives each slice's offset. That table has one row per
    slice, so its size is bounded by the partition count, never by the data, and it is broadcast.
 
-Group-relative numbers (a counter that restarts per group) are the global number minus the group's
-first global number, taken from a partially-aggregated ``min`` and joined back on the group key (AQE
-splits a skewed group in that join).
+Group-relative numbers (a counter that restarts per group) are taken within (slice, group) and go on from the rows
+that the group has in earlier slices: only the last group of a slice can go on, so that table has one row per slice too.
 """
 
 from __future__ import annotations
@@ -84,18 +83,35 @@ def global_number(df: DataFrame, order: Sequence[Column | str], out: str,
             .drop("_pin_part", "_pin_pos", "_gn_off"))
 
 
+def _carried(tagged: DataFrame, key: Sequence[str], out: str) -> DataFrame:
+    """Rows of a slice's first key in earlier slices: one row per slice that goes on with the key before (``_c_part``,
+    the key under numbered names, ``out``). Only the last key of a slice can go on, so each slice contributes one."""
+    names = {c: f"_c_{i}" for i, c in enumerate(key)}
+    last = tagged.groupBy(F.col("_pin_part").alias("_c_part")).agg(
+        F.max_by(F.struct(*[F.col(c).alias(n) for c, n in names.items()]), "_pin_pos").alias("_c_last"))
+    last = last.select("_c_part", *[F.col(f"_c_last.{n}").alias(n) for n in names.values()])
+    same = [tagged["_pin_part"] == last["_c_part"], *[tagged[c].eqNullSafe(last[n]) for c, n in names.items()]]
+    ends = tagged.join(F.broadcast(last), same).groupBy("_c_part", *names.values()).agg(F.count(F.lit(1)).alias("_c_n"))
+    # windows over the table of slices, not over the data
+    return ends.select(F.lead("_c_part").over(Window.orderBy("_c_part")).alias("_c_part"), *names.values(),
+                       F.sum("_c_n").over(Window.partitionBy(*names.values()).orderBy("_c_part")).alias(out))
+
+
 def group_number(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], out: str,
                  start: Column | int = 0) -> DataFrame:
-    """Counter restarting at 1 (+ ``start``) in each group, in ``order`` (total within the group)."""
-    tmp = "_grp_global"
-    numbered = global_number(df, [*_as_order(group), *_as_order(order)], tmp)
-    keys = [f"_grp_k{i}" for i in range(len(group))]
-    firsts = numbered.groupBy(*group).agg(F.min(tmp).alias("_grp_first")) \
-        .select(*[F.col(g).alias(k) for g, k in zip(group, keys)], "_grp_first")
+    """Counter restarting at 1 (+ ``start``) in each group, in ``order`` (total within the group).
+
+    A row's number is its place among the rows of its group in its slice plus the group's rows in earlier slices,
+    so a group with most of the rows is numbered slice by slice.
+    """
+    tagged = pin(df, [*_as_order(group), *_as_order(order)])
+    here = F.row_number().over(Window.partitionBy("_pin_part", *group).orderBy("_pin_pos"))
+    carried = _carried(tagged, group, "_c_rows")
+    same = [F.col("_pin_part") == F.col("_c_part"), *[tagged[c].eqNullSafe(carried[f"_c_{i}"]) for i, c in enumerate(group)]]
     start_col = start if isinstance(start, Column) else F.lit(start)
-    joined = numbered.join(firsts, [numbered[g].eqNullSafe(firsts[k]) for g, k in zip(group, keys)]).drop(*keys)
-    return (joined.withColumn(out, (F.col(tmp) - F.col("_grp_first") + 1 + start_col).cast("long"))
-            .drop(tmp, "_grp_first"))
+    joined = tagged.withColumn("_c_here", here).join(F.broadcast(carried), same, "left")
+    number = (F.col("_c_here") + F.coalesce("_c_rows", F.lit(0)) + start_col).cast("long").alias(out)
+    return joined.select(*[tagged[c] for c in df.columns if c != out], number)
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column | str],

@@ -36,6 +36,8 @@ MIN_WORDS, MAX_CHAR, MAX_WORD = 50, 0.25, 0.27
 #: bins are filled, so fewer count.
 NOISE_BINS = 25
 TOP, SHORT, MAX_LANGS = 40, 4, 500
+#: Words that a language needs to be a reference.
+MIN_REFERENCE = 1000
 
 
 def split_words(text: Column) -> Column:
@@ -45,23 +47,26 @@ def split_words(text: Column) -> Column:
 def repeated_words(words: Column, window: int = REPEAT_WINDOW) -> Column:
     """Words covered by windows of ``window`` words found twice or more in ``words``.
 
-    Window hashes are sorted with their places; equal neighbours mark repeated places, and each place
-    covers the words up to the next repeated place, ``window`` at most.
+    Every word is hashed once; hashes of two, four, ... words are made of two of the halves. Only a text in which
+    some window hash comes twice goes on: its hashes are sorted with their places, equal neighbours mark repeated
+    places, and each place covers the words up to the next repeated place, ``window`` at most.
     """
-    def windows(w: Column) -> Column:
-        places = F.sequence(F.lit(0), F.greatest(F.size(w) - window, F.lit(0)))
-        return F.sort_array(F.transform(places, lambda i: F.struct(
-            F.xxhash64(*[F.get(w, i + k) for k in range(window)]).alias("h"), i.alias("p"))))
-
-    def places(s: Column) -> Column:
-        same = F.filter(s, lambda x, i: (F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"]))
+    def hashes(h: Column, size: int = 1) -> Column:
+        if size == window:
+            return F.slice(h, F.lit(1), F.size(h) - (window - 1))  # what lies behind is cut off by the end
+        return let(F.zip_with(h, F.slice(h, F.lit(size + 1), F.size(h)), lambda a, b: F.xxhash64(a, b)), lambda x: hashes(x, 2 * size))
+
+    def places(h: Column) -> Column:
+        s = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
+        same = let(s, lambda s: F.filter(s, lambda x, i: (F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"])))
         return F.sort_array(F.transform(same, lambda x: x["p"]))
 
     def covered(p: Column) -> Column:
         own = F.transform(p, lambda x, i: F.least(F.lit(window), F.coalesce(F.get(p, i + 1) - x, F.lit(window))))
         return F.aggregate(own, F.lit(0), lambda a, x: a + x)
 
-    counted = let(words, lambda w: let(windows(w), lambda s: let(places(s), covered)))
+    each = F.transform(words, lambda w: F.xxhash64(w))
+    counted = let(let(each, lambda h: hashes(h)), lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), let(places(h), covered)).otherwise(F.lit(0)))
     return F.when(F.size(words) > window, counted).otherwise(F.lit(0)).cast("long")
 
 
@@ -153,30 +158,33 @@ def class_references(rows: DataFrame) -> DataFrame:
 
 
 def with_references(rows: DataFrame, refs: DataFrame, size: str) -> DataFrame:
-    """``rows`` (key, ...) with ``refs``: the reference of the row's language, or all (in order of ``key``) if it has none."""
+    """``rows`` (key, ...) with ``refs``: the reference of the row's language, or all (in order of ``key``) if it has none.
+
+    Up to ``MAX_LANGS`` references are broadcast; beyond, each language's own is joined as Catalyst sees fit.
+    """
     item = F.struct(*refs.columns)
-    common = refs if refs.count() <= MAX_LANGS else store(rows.sparkSession, refs.orderBy(F.desc(size), "key").limit(MAX_LANGS), "quality-common")
-    own = common.select(F.col("key").alias("k"), F.array(item).alias("refs"))
-    every = refs.agg(F.array_sort(F.collect_list(item)).alias("refs")).select(F.lit(None).cast("string").alias("k"), "refs")
-    near = F.broadcast(own.unionByName(every))
-    if common is refs:
-        return rows.join(near, rows["key"].eqNullSafe(near["k"]), "left").drop("k")
-    rare = refs.join(F.broadcast(common.select("key")), "key", "left_anti").select(F.col("key").alias("k"), F.array(item).alias("refs"))
-    known = F.broadcast(near.select("k"))
-    others = rows.join(known, rows["key"].eqNullSafe(known["k"]), "left_anti")
-    return rows.join(near, rows["key"].eqNullSafe(near["k"])).unionByName(others.join(rare, others["key"] == rare["k"])).drop("k")
-
-
-def quality(docs: DataFrame, min_words: int = MIN_WORDS, max_char: float = MAX_CHAR, max_word: float = MAX_WORD) -> DataFrame:
+    own = refs.select(F.col("key").alias("k"), F.array(item).alias("own"))
+    if refs.count() <= MAX_LANGS:
+        own = F.broadcast(own)
+    every = F.broadcast(refs.agg(F.array_sort(F.collect_list(item)).alias("every")))
+    joined = rows.join(own, rows["key"] == own["k"], "left").drop("k").crossJoin(every)
+    return joined.withColumn("refs", F.coalesce("own", "every")).drop("own", "every")
+
+
+def quality(docs: DataFrame, min_words: int = MIN_WORDS, max_char: float = MAX_CHAR, max_word: float = MAX_WORD,
+            min_reference: int = MIN_REFERENCE) -> DataFrame:
     """Base counts, ``char_distance, word_distance`` and ``base_failed, kept`` for every row.
 
+    A language whose texts have fewer than ``min_reference`` words is no reference; its texts, like those without
+    a language, are judged by the nearest one.
+
     Texts are read twice: for the common words, then for everything else of a row; the classes' references
     and distances come from the narrow rows that the second pass stores.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "lang", "text")
     key = F.col("lang").cast("string")
-    refs = word_references(docs.select(key.alias("key"), "text"))
+    refs = word_references(docs.select(key.alias("key"), "text")).filter(F.col("total") >= min_reference)
     joined = with_references(base_rules(docs).withColumn("key", key), refs, "total")
     judged = F.col("n_words") >= min_words
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

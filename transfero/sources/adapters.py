@@ -172,7 +172,7 @@ ADAPTERS: dict[str, str] = {
         "part.codigo, cast(l_orderkey % 40 as int) ficha, concat('3.3.90.', cast(30 + part.codigo as string)) elemento, "
         "cast(part.codigo as string) desdobro, concat('33903', cast(part.codigo as string)) balco_tce, case when l_orderkey % 10 = 9 then null "
         "else cast(sum(l_quantity) * part.codigo as decimal(18,5)) end qtd, case when l_orderkey % 9 = 4 then null else "
-        "cast(floor(sum(l_extendedprice) * 100) / 100 as decimal(18,5)) end valor from lineitem join orders on o_orderkey = l_orderkey join "
+        "cast(sum(cast(floor(l_extendedprice * 100) / 100 as decimal(18,5))) as decimal(18,5)) end valor from lineitem join orders on o_orderkey = l_orderkey join "
         "(select 1 codigo union all select 2 union all select 3) part on part.codigo <= l_orderkey % 4 "
         "group by l_orderkey, cast(year(o_orderdate) as int), cast(year(o_orderdate) as string), l_linenumber, part.codigo"
     ),

@@ -93,10 +93,13 @@ def _nodes(blocks: DataFrame, block: int) -> DataFrame:
     """``depth, a, b, pa, pb, bytes, n, conv_id`` of every node under the root."""
     members = _distinct(blocks, F.count(F.lit(1)).alias("n"), F.min("conv_id").alias("conv_id"))
     members = store(blocks.sparkSession, members, "blocks-distinct")
-    siblings = members.groupBy("k", "a", "b").agg(F.count(F.lit(1)).alias("siblings"))
-    members = members.join(siblings, ["k", "a", "b"])
-    alone = _inside(members.filter("siblings = 1"), block, "n", "conv_id")
-    split = _inside(members.filter("siblings > 1"), block, "n", "conv_id").groupBy(*_NODE).agg(
+    # A block without siblings comes out of the grouping by its start; all others are joined by the whole block, not
+    # by the start, under which very many may lie.
+    one = members.groupBy("k", "a", "b").agg(F.count(F.lit(1)).alias("siblings"), F.first(F.struct("ha", "hb", "digests", "sizes", "n", "conv_id")).alias("one"))
+    single = one.filter("siblings = 1").select("k", "a", "b", "one.*")
+    alone = _inside(single, block, "n", "conv_id")
+    split = members.join(single, ["k", "a", "b", "ha", "hb"], "left_anti")
+    split = _inside(split, block, "n", "conv_id").groupBy(*_NODE).agg(
         *[F.first(c).alias(c) for c in ("pa", "pb", "bytes")], F.sum("n").alias("n"), F.min("conv_id").alias("conv_id"))
     return alone.unionByName(split)
 

@@ -114,6 +114,25 @@ def test_neighbours(spark):
     assert search(spark.createDataFrame([], "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_neighbours_by_the_registered_query(spark, tmp_path, monkeypatch):
+    """The registered query learns parts and searches fewer than half of them on clustered vectors."""
+    from transfero.llm import op02_neighbours as op
+    r = np.random.default_rng(4)
+    x = r.standard_normal((4000, 16)) + 6 * r.standard_normal((12, 16))[r.integers(0, 12, 4000)]
+    spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    learned, learn = [], op.learn
+    monkeypatch.setattr(op, "learn", lambda *a, **k: learned.append(learn(*a, **k)) or learned[-1])
+    got = defaultdict(set)
+    for row in op.op2_neighbours(spark, str(tmp_path)).collect():
+        got[row.query_id].add(row.vec_id)
+    _, parts, probes = learned[0]
+    assert parts == 8 and 2 * probes < parts
+    s = x[::20] @ x.T
+    s[np.arange(200), np.arange(0, 4000, 20)] = -np.inf
+    hit = sum(len(got[20 * q] & set(np.argsort(-s[q])[:20].tolist())) for q in range(200))
+    assert hit >= 0.9 * 20 * 200
+
+
 def targets(sizes):
     names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + ([None] if None in sizes else [])
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}

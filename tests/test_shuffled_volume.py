@@ -1,6 +1,7 @@
 """Steps that move less: what a query does not return is neither computed nor written, and results stay the same."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from transfero.context import DEFAULT_CONTEXT
 from transfero.operators.numbering import first_per_key
@@ -70,3 +71,47 @@ def test_key_split_finds_clashes_in_one_aggregate(spark):
         ("", 1, "NULL in key", 1), ("a", 1, "duplicate key", 1), ("a", 2, "duplicate key", 1)]
     plan = ok._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("sum(_copies") == 0
+
+
+def _moves(df):
+    """Exchanges of the physical plan that move rows between tasks, without broadcasts."""
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.count(" Exchange ")
+
+
+@pytest.fixture()
+def nothing_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bids_and_objects_of_a_tender_meet_where_they_lie(spark, nothing_broadcast):
+    from transfero.plans import tender
+    classified = tender._classified.__wrapped__(Legacy(spark, SF))
+    # lineitems twice, orders twice (the second join reuses one), tenders, price tables and the bids that look there
+    assert _moves(classified) <= 8
+    assert classified.sparkSession.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "false"
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_settings_of_the_caller_go_on(spark, nothing_broadcast):
+    src = Legacy(spark, SF)
+    for key in ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.session.timeZone"]:
+        assert src.spark.conf.get(key) == spark.conf.get(key)
+
+
+def test_amendments_are_the_latest_of_the_same_bid(spark):
+    from transfero.plans import tender
+    src = Legacy(spark, SF)
+    bids = spark.createDataFrame(
+        [(1, 7, 2020, 4, 1, 1, 5, 9, 10, "C", 1), (1, 7, 2020, 4, 1, 1, 5, 9, 12, "R", 2), (1, 7, 2020, 4, 1, 1, 5, 9, 11, "R", 3),
+         (1, 7, 2020, 4, 1, 1, 5, 8, 20, "C", 9), (1, 7, 2020, 4, None, 1, 5, 9, 13, "R", 4), (None, 7, 2020, 4, 1, 2, 5, 9, 14, "R", 5)],
+        "fk_processo_licitatorio long, nrprocesso long, dtanoprocesso int, cdtipoprocesso int, lote int, nritem int, cdmaterial long, "
+        "cdfornecedor long, vlcotacaoproposta int, tpregistro string, ordem int")
+    src._cache["classificacaoproposta"] = bids.withColumns({"nrclassificacao": F.lit(1), "fk_tabela_preco_processo": F.lit(None).cast("long")})
+    src._cache["processolicitatorio"] = spark.createDataFrame([(7, 2020, 4, 1)], "nrprocesso long, dtanoprocesso int, cdtipoprocesso int, pkid long")
+    src._cache["itemobjeto"] = spark.createDataFrame([(1, 1, 5, 1, 3), (1, 2, 5, 1, 4)], "id_processolicitatorio long, nritem int, cdmaterial long, lote int, qtitemobjeto int")
+    got = {(r["ordem"], r["_amended"], r["qtitemobjeto"]) for r in tender._classified(src).collect()}
+    # without a lot no amendment is found; without its tender a bid finds no object
+    assert got == {(1, 11, 3), (2, 11, 3), (3, 11, 3), (9, None, 3), (4, None, None), (5, 14, None)}

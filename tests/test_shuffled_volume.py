@@ -115,3 +115,61 @@ def test_amendments_are_the_latest_of_the_same_bid(spark):
     got = {(r["ordem"], r["_amended"], r["qtitemobjeto"]) for r in tender._classified(src).collect()}
     # without a lot no amendment is found; without its tender a bid finds no object
     assert got == {(1, 11, 3), (2, 11, 3), (3, 11, 3), (9, None, 3), (4, None, None), (5, 14, None)}
+
+
+def test_ledger_rows_are_moved_once(spark, nothing_broadcast):
+    from transfero.plans import assets
+    src = Legacy(spark, SF)
+    # movements by reason, depreciation and its reversals (twice), complementary values by asset, and all rows by range
+    assert _moves(assets._ledger_source(src)) <= 9
+    plan = assets._ledger_source(src)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    above = plan[:plan.index("rangepartitioning")]
+    assert above.count("Exchange") == 1 and "SortAggregate" in above
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_crowded_assets_are_cut_by_day(spark, monkeypatch):
+    from transfero.plans import assets
+    whole = _rows(assets.asset_ledger(Legacy(spark, SF), DEFAULT_CONTEXT))
+    register = _rows(assets.asset_register_final(Legacy(spark, SF), DEFAULT_CONTEXT))
+    monkeypatch.setattr(assets, "_crowded", lambda src: list(range(0, 200, 3)))
+    src = Legacy(spark, SF)
+    assert assets._ledger_source(src).filter("_day is not null").count() > 1000
+    assert _rows(assets.asset_ledger(src, DEFAULT_CONTEXT)) == whole
+    assert _rows(assets.asset_register_final(src, DEFAULT_CONTEXT)) == register
+
+
+def test_crowded_assets_are_found(spark, monkeypatch):
+    from transfero.plans import assets
+    src = Legacy(spark, SF)
+    monkeypatch.setattr(assets, "CROWDED_ROWS", 200)
+    monkeypatch.setattr(assets, "CROWDED_SAMPLE", 1.0)
+    ids = spark.createDataFrame([(1,)] * 250 + [(2,)] * 150 + [(None,)] * 300, "cditem long")
+    for t in ("patri_movimento", "movimentodepreciacao", "movimentovlcomplementar"):
+        src._cache[t] = ids if t == "patri_movimento" else ids.limit(0)
+    assert assets._crowded(src) == [1]
+
+
+def test_an_asset_registered_twice_has_its_ledger_rows_twice(spark):
+    from transfero.plans import assets
+    src = Legacy(spark, SF)
+    once = assets.asset_ledger(src, DEFAULT_CONTEXT).groupBy("codigo_pat_mov").count().collect()
+    src = Legacy(spark, SF)
+    item = src["patri_item"]
+    src._cache["patri_item"] = item.unionByName(item.filter("cditem = 5").withColumn("dsreduzida", F.lit("again")))
+    twice = {r[0]: r[1] for r in assets.asset_ledger(src, DEFAULT_CONTEXT).groupBy("codigo_pat_mov").count().collect()}
+    assert twice.pop(5) == 2 * {r[0]: r[1] for r in once}[5]
+    assert twice == {r[0]: r[1] for r in once if r[0] != 5}
+
+
+def test_a_fill_goes_on_over_the_cuts_of_a_key(spark):
+    from transfero.operators.ledger import chained_fill, fill_within
+    rows = [(1, 1, 1, 5, False), (1, 2, 2, None, True), (1, 4, 3, 0, True), (1, 4, 4, None, False), (1, 5, 5, None, True),
+            (2, None, 6, None, True), (2, None, 7, 9, False), (2, None, 8, None, True), (None, 1, 9, 3, False), (None, 2, 10, None, True)]
+    df = spark.createDataFrame(rows, "a int, c int, id int, v int, f boolean").repartitionByRange(4, "a", "c")
+    seen = fill_within(df, ["a"], "c", ["id"], "v", F.col("f"), F.lit(0), "w")
+    got = {r["id"]: r["v"] for r in chained_fill(seen, ["a"], "id", "v", F.col("f"), within="w", cut="c").collect()}
+    assert got == {1: 5, 2: 5, 3: 5, 4: None, 5: 0, 6: 0, 7: 9, 8: 9, 9: 3, 10: 3}

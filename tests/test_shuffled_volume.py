@@ -173,3 +173,37 @@ def test_a_fill_goes_on_over_the_cuts_of_a_key(spark):
     seen = fill_within(df, ["a"], "c", ["id"], "v", F.col("f"), F.lit(0), "w")
     got = {r["id"]: r["v"] for r in chained_fill(seen, ["a"], "id", "v", F.col("f"), within="w", cut="c").collect()}
     assert got == {1: 5, 2: 5, 3: 5, 4: None, 5: 0, 6: 0, 7: 9, 8: 9, 9: 3, 10: 3}
+
+
+def test_bidders_are_told_apart_by_keys(spark, nothing_broadcast):
+    from transfero.plans import quotation
+    src = Legacy(spark, SF)
+    bids = spark.createDataFrame([(7, 1998, 1, 1), (7, 1998, 1, 2), (7, 1998, 2, 1), (8, None, 1, 1), (0, 1998, 1, 1)],
+                                 "nrpesquisa long, dtanopesquisa int, cdfornecedor long, nritemproposta int")
+    src._cache["propostapesquisa"] = bids
+    f = src["fornecedor"].filter("cdfornecedor in (1, 2)")
+    src._cache["fornecedor"] = f.unionByName(f).unionByName(f.filter("cdfornecedor = 2").withColumn("nmfornecedor", F.lit("OTHER")))
+    out = quotation.quotation_bidders(src, DEFAULT_CONTEXT)
+    assert sorted((r["id_cadorc"], r["nome"]) for r in out.collect()) == [
+        ("798", "Other"), ("798", "Supplier#000000000"), ("798", "Supplier#000000001"), ("8", "Supplier#000000000")]
+    texts = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in line and "nrpesquisa" in line]
+    assert texts and not any("nmfornecedor" in line or "numorc" in line for line in texts)
+
+
+def test_tasks_of_a_shuffle_grow_in_number_with_the_input(spark, monkeypatch):
+    from transfero.sources import catalog
+    monkeypatch.setattr(catalog, "SHUFFLE_BYTES", 1 << 10)
+    src = Legacy(spark, SF)
+    src["propostapesquisa"]
+    assert int(src.spark.conf.get("spark.sql.shuffle.partitions")) > 100 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_task_size_is_the_callers_where_set(spark):
+    from transfero.session import TASK_BYTES, process_session
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    assert process_session(spark).conf.get(key) == TASK_BYTES
+    spark.conf.set(key, "32m")
+    try:
+        assert process_session(spark).conf.get(key) == "32m"
+    finally:
+        spark.conf.unset(key)

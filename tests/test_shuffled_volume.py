@@ -207,3 +207,63 @@ def test_task_size_is_the_callers_where_set(spark):
         assert process_session(spark).conf.get(key) == "32m"
     finally:
         spark.conf.unset(key)
+
+
+@pytest.fixture()
+def sliced(monkeypatch):
+    """Columns of all rows that are numbered by slices."""
+    from transfero.operators import numbering
+    seen, pin = [], numbering.pin
+    monkeypatch.setattr(numbering, "pin", lambda df, *args: seen.append(df.columns) or pin(df, *args))
+    return seen
+
+
+def test_bids_items_and_products_of_a_tender_meet_where_they_lie(spark, sliced):
+    from transfero.plans import tender
+    src = Legacy(spark, SF)
+    tender.tender_bids(src, DEFAULT_CONTEXT)
+    assert sliced and not [columns for columns in sliced if "nritem" in columns]  # items are numbered where they lie
+    src.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = tender._classified(src)
+    assert _moves(rows.select("_tender", "cdmat").distinct()) == 0
+    assert _moves(rows.join(rows.groupBy("_tender", "pkid", "nritem").count(), ["_tender", "nritem"])) == 0
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("step_")]
+
+
+def test_small_tables_of_tenders_are_written_first(spark):
+    src = Legacy(spark, SF)
+    JOBS["tender_bids"](src, DEFAULT_CONTEXT)
+    assert {"_price_tables", "_expenses", "_bidder_ids", "_classified"} <= {k[2] for k in src.written}
+
+
+def test_items_of_crowded_tenders_are_numbered_by_slices(spark, monkeypatch, sliced):
+    from transfero.plans import tender
+    whole = {name: _rows(JOBS[name](Legacy(spark, SF), DEFAULT_CONTEXT)) for name in ("tender_items", "tender_bids")}
+    monkeypatch.setattr(tender, "CROWDED_ROWS", 5)
+    src = Legacy(spark, SF)
+    n = src["processolicitatorio"].count()
+    assert 0 < len(tender._crowded(src)) < n
+    assert {name: _rows(JOBS[name](src, DEFAULT_CONTEXT)) for name in whole} == whole
+    assert [columns for columns in sliced if "nritem" in columns]
+
+
+def test_tenders_that_share_an_id_share_their_item_numbers(spark):
+    from transfero.plans import tender
+    src = Legacy(spark, SF)
+    mat = sorted(r[0] for r in tender.warehouse._products(src).select("cdmaterial").limit(2).collect())
+    bids = [(p, 2020, 4, lot, n, m, 9, 10) for p, lot, n, m in
+            [(7, 1, 1, mat[0]), (7, 1, 3, mat[0]), (8, 1, 1, mat[0]), (8, 1, 2, mat[1]), (8, 1, 4, -5), (9, 1, 1, mat[0]), (6, 2, 1, mat[1]), (5, 1, 1, mat[0])]]
+    src._cache["classificacaoproposta"] = spark.createDataFrame(
+        bids, "nrprocesso long, dtanoprocesso int, cdtipoprocesso int, lote int, nritem int, cdmaterial long, cdfornecedor long, vlcotacaoproposta int") \
+        .withColumns({"fk_processo_licitatorio": F.col("nrprocesso"), "nrclassificacao": F.lit(1), "tpregistro": F.lit("C"), "ordem": F.lit(1),
+                      "fk_tabela_preco_processo": F.lit(None).cast("long")})
+    # 7 and 8 have one id, 6 and 9 have none
+    src._cache["processolicitatorio"] = spark.createDataFrame(
+        [(7, 2020, 4, 1), (8, 2020, 4, 1), (9, 2020, 4, None), (6, 2020, 4, None), (5, 2020, 4, 5)], "nrprocesso long, dtanoprocesso int, cdtipoprocesso int, pkid long")
+    got = sorted((r["pkid"] or 0, r["nrprocesso"], r["nritem"], r["item"]) for r in tender._items(src)[0].collect())
+    first = [g[3] for g in got if g[0] == 1 and g[2] == 1]
+    assert sorted(first) == [1, 2]
+    assert [g for g in got if g[2] != 1] == [(1, 7, 3, 4), (1, 8, 2, 3)]
+    assert [g for g in got if g[0] != 1] == [(0, 6, 1, 2), (0, 9, 1, 1), (5, 5, 1, 1)]
+    placed = sorted((r["pkid"] or 0, r["nrprocesso"], r["nritem"], r["_item"]) for r in tender._placed_bids(src, DEFAULT_CONTEXT).collect())
+    assert placed == [(0, 6, 1, 2), (0, 9, 1, 1), (1, 7, 1, 2), (1, 7, 3, 4), (1, 8, 1, 2), (1, 8, 2, 3), (5, 5, 1, 1)]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from transfero.context import DEFAULT_CONTEXT
-from transfero.plans import JOBS, orders
+from transfero.plans import JOBS, orders, quotation
 from transfero.sources.catalog import Legacy
 
 SF = "/root/testdata/sf0.001"
@@ -34,7 +34,7 @@ def _rows(df):
 
 @pytest.mark.parametrize("name, most", [
     ("purchase_order_lines", 0), ("rejected_order_items", 0), ("purchase_orders", 6), ("delivery_authorizations", 1),
-    ("delivery_authorization_items", 12), ("rejected_sub_orders", 12)])
+    ("delivery_authorization_items", 12), ("rejected_sub_orders", 12), ("quotation_item_prices", 26), ("tender_budget_lines", 32)])
 def test_rows_of_a_query_are_moved_seldom(src, name, most):
     assert _moves(JOBS[name](src, DEFAULT_CONTEXT)) <= most
 
@@ -94,3 +94,11 @@ def test_contracts_without_a_tender_find_their_products(spark):
     alone = [r for part in (ok, bad) for r in part.filter("nrinstrumentocontratual % 3 = 1").collect()]
     assert len(alone) == orders._authorized(src, DEFAULT_CONTEXT)[0].filter("nrinstrumentocontratual % 3 = 1").count() > 100
     assert all(r["id_processolicitatorio"] is None and r["_tcodant"] is None and r["cadpro"] == codes.get(r["cdmaterial"]) for r in alone)
+
+
+def test_items_of_crowded_quotations_are_numbered_by_slices(spark, monkeypatch):
+    whole = {name: _rows(JOBS[name](Legacy(spark, SF), DEFAULT_CONTEXT)) for name in ("quotation_items", "quotation_bids")}
+    monkeypatch.setattr(quotation, "CROWDED_ROWS", 4)
+    src = Legacy(spark, SF)
+    assert 0 < len(quotation._crowded(src)) < src["processopesquisa"].count()
+    assert {name: _rows(JOBS[name](src, DEFAULT_CONTEXT)) for name in whole} == whole
